@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.operators.mapping import Block, KeyRule, LinkSource, LinkSpec
+from dataclasses import replace
+
+from ledgerloom.operators.checks import AuditSpec
+from ledgerloom.operators.mapping import LINK_SCHEMA, Block, KeyRule, LinkSource, LinkSpec
 
 # Table names, system names, key prefixes, relationship types,
 # flags, scheme types and dates below decide the hashes and the rows.
@@ -51,3 +54,24 @@ LINKS = LinkSpec(
     run_types=("FIRST", "FULL", "DELTA"),
     end_date="9999-12-31",
 )
+
+# The audit of the relationship table; labels are fixed values. Its source count
+# looks at the flags only, not at the bank.
+LINK_AUDIT = AuditSpec(
+    keys=("AR_ID", "AU_ID"),
+    checksum_columns=("AR_ID", "AU_ID", "AR_X_AU_RLTNP_TP_ID"),
+    contract=LINK_SCHEMA,
+    source_valid=ACCOUNTS.valid,
+    source_label="Raw GAM Valid Rows",
+    target_label="SOR",
+)
+
+
+def with_key_prefixes(audit: AuditSpec, spec: LinkSpec) -> AuditSpec:
+    """The audit with the Collapsed Key check for the prefixes of a mapping."""
+    arrangements = {s.arrangement.prefix for s in spec.sources}
+    units = {b.unit.prefix for s in spec.sources for b in s.blocks}
+    return replace(
+        audit,
+        key_prefixes={"AR_ID": tuple(sorted(arrangements)), "AU_ID": tuple(sorted(units))},
+    )
