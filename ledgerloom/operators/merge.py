@@ -57,14 +57,19 @@ def rows_after(df: DataFrame, column: str, watermark: Watermark) -> DataFrame:
     """Rows past the watermark; the plain comparison is pushed down to Parquet and JDBC.
 
     Without a watermark all rows are taken. Later on, rows that are null in the
-    column are never taken; :func:`unplaced_rows` counts them.
+    column are never taken; :func:`unplaced_rows` counts them. Dates and times may
+    be given as text, read in the column's own type.
     """
-    return df if watermark is None else df.filter(F.col(column) > F.lit(watermark))
+    if watermark is None:
+        return df
+    if isinstance(watermark, (date, datetime)):
+        watermark = str(watermark)
+    return df.filter(F.col(column) > F.lit(watermark).cast(df.schema[column].dataType))
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:
-    """One row with the largest value of the column."""
-    return df.agg(F.max(column).alias("high_water_mark"))
+    """One row with the largest value of the column as text, fit for :func:`rows_after`."""
+    return df.agg(F.max(column).cast("string").alias("high_water_mark"))
 
 
 def unplaced_rows(df: DataFrame, column: str) -> DataFrame:
