@@ -579,13 +579,14 @@ def json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, path, "row_count BIGINT, run_date STRING")
 
 
-def _landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Customers as CSV, with keys that are no numbers in one segment."""
     customer = table(spark, sf_dir, "customer")
     key = F.when(
         F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("x"), F.col("c_custkey").cast("string"))
     ).otherwise(F.col("c_custkey").cast("string"))
-    path = shared_scratch(spark, "landing")
+    zones = _scratch_zones(spark, "landing")
+    path = zones.table("source", "customer")
     landed = customer.select(key.alias("c_custkey"), "c_name", "c_mktsegment")
     landed.write.option("header", "true").csv(path)
     schema = T.StructType(
@@ -595,17 +596,17 @@ def _landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("c_mktsegment", T.StringType()),
         ]
     )
-    return files.read_csv(spark, path, schema)
+    return jobs.land_csv(spark, path, schema, zones, "customer", RUN_DATE)
 
 
 @query
 def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.split_corrupt(_landed_customers(spark, sf_dir))[0]
+    return _landed_customers(spark, sf_dir)[0].select("c_custkey", "c_name", "c_mktsegment")
 
 
 @query
 def csv_landing_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.split_corrupt(_landed_customers(spark, sf_dir))[1].select(files.CORRUPT_COLUMN, "c_name")
+    return _landed_customers(spark, sf_dir)[1].select(files.CORRUPT_COLUMN, "c_name")
 
 
 @query

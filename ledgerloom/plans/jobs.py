@@ -40,7 +40,7 @@ from ledgerloom.plans.links import (
     LINKS,
     with_key_prefixes,
 )
-from ledgerloom.sources.files import TableSource, read_parquet
+from ledgerloom.sources.files import TableSource, read_csv, read_parquet, split_corrupt
 from ledgerloom.sources.sinks import WriteResult, path_exists, upsert_table, write_table
 from ledgerloom.sources.zones import QUARANTINE, RAW, RECONCILE, SOR, STAGING, Zones
 
@@ -167,6 +167,21 @@ def append_run_log(log: DataFrame, zones: Zones, name: str = "etl_pipeline_audit
     return write_table(log, zones.table(RECONCILE, name), "append")
 
 
+def land_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    zones: Zones,
+    name: str,
+    run_date: str,
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Write landed CSV files to raw as Parquet; (readable rows, misfits) read from there."""
+    table = zones.table(RAW, name)
+    write_table(with_ingest_metadata(read_csv(spark, path, schema, header), run_date), table)
+    return split_corrupt(spark.read.parquet(table))
+
+
 def ingest_increment(
     spark: SparkSession,
     source: DataFrame,

@@ -37,7 +37,9 @@ def read_csv(
 ) -> DataFrame:
     """Landed CSV with a declared schema, so no pass is spent on inference.
 
-    Lines that do not fit keep their text in ``_corrupt_record``.
+    Lines that do not fit keep their text in ``_corrupt_record``. Spark parses only
+    the columns a query asks for, so a query on fewer columns overlooks misfits in
+    the others: write the table whole before splitting it (``land_csv`` does).
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
     return (
@@ -51,7 +53,7 @@ def read_csv(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable rows, rows with their raw text) of a table from :func:`read_csv`."""
+    """(readable rows, rows with their raw text) of a written table from :func:`read_csv`."""
     good = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     return good, df.filter(F.col(CORRUPT_COLUMN).isNotNull())
 
