@@ -239,6 +239,8 @@ ORACLES: dict[str, str] = {
     "column_bounds": "SELECT min(o_orderkey) AS min_value, max(o_orderkey) AS max_value FROM orders",
     "audit_summary": _audit_sql(_link_sql(_ALL)),
     "audit_faulty_table": _audit_sql(f"{_BROKEN} UNION ALL {_BROKEN}"),
+    "audit_prescreened": _audit_sql(_link_sql(_ALL)),
+    "audit_faulty_prescreened": _audit_sql(_link_sql("1237", orders=_GAPS), _GAPS),
     "audit_missing_column": f"""
         SELECT 'Row Count' AS "CHECK_NAME", 'PASS' AS "STATUS",
             'Raw GAM Valid Rows: ' || s.n || ', SOR Rows: ' || t.n AS "DETAILS"

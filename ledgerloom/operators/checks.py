@@ -192,14 +192,32 @@ def constraint_report(df: DataFrame, constraints: Iterable[Constraint]) -> DataF
 # --- audit of a relationship table -------------------------------------------
 
 
+def _bare_prefix(spec: AuditSpec) -> Column:
+    """Whether a key is nothing but the hash of one of its prefixes."""
+    return reduce(
+        lambda a, b: a | b,
+        [
+            F.col(name).isin(*[F.sha2(F.lit(p), 256) for p in prefixes])
+            for name, prefixes in spec.key_prefixes.items()
+        ],
+    )
+
+
+def _has(df: DataFrame, names: Iterable[str]) -> bool:
+    return all(n in df.columns for n in names)
+
+
+def _total(condition_or_count: Column) -> Column:
+    return F.coalesce(F.sum(condition_or_count), F.lit(0))
+
+
 def _target_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFrame:
     """One row of measures: a keyed aggregate, then an aggregate over the groups.
 
     The first level combines on the map side, so a key held by a large share of
     the rows costs one partial row per task.
     """
-    keyed = all(k in target.columns for k in spec.keys)
-    summed = all(c in target.columns for c in spec.checksum_columns)
+    keyed, summed = _has(target, spec.keys), _has(target, spec.checksum_columns)
     rows = target.select(
         *(spec.keys if keyed else ()),
         *([fingerprint(spec.checksum_columns, method).alias("fingerprint")] if summed else []),
@@ -210,24 +228,81 @@ def _target_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFram
 
     groups = rows.groupBy(*spec.keys).agg(F.count("*").alias("n"), *lanes)
     measures = [
-        F.coalesce(F.sum("n"), F.lit(0)).alias("target_rows"),
+        _total(F.col("n")).alias("target_rows"),
         F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(_any_null(spec.keys), F.col("n"))), F.lit(0)).alias("null_rows"),
+        _total(F.when(_any_null(spec.keys), F.col("n"))).alias("null_rows"),
     ]
     if spec.key_prefixes:
-        bare = reduce(
-            lambda a, b: a | b,
-            [
-                F.col(name).isin(*[F.sha2(F.lit(p), 256) for p in prefixes])
-                for name, prefixes in spec.key_prefixes.items()
-            ],
-        )
-        measures.append(
-            F.coalesce(F.sum(F.when(bare, F.col("n"))), F.lit(0)).alias("collapsed_rows")
-        )
+        measures.append(_total(F.when(_bare_prefix(spec), F.col("n"))).alias("collapsed_rows"))
     return groups.agg(*measures, *(merge_lanes() if summed else []))
 
 
+# Up to this many 8-byte key hashes are broadcast; it bounds memory, not the result.
+MAX_BROADCAST_SUSPECTS = 1_000_000
+
+
+def duplicate_key_count(target: DataFrame, keys: Sequence[str], suspects: DataFrame,
+                        suspect_count: int) -> DataFrame:
+    """Exact number of repeated keys among rows whose key hash is a suspect."""
+    if suspect_count <= MAX_BROADCAST_SUSPECTS:
+        suspects = F.broadcast(suspects)
+    hashed = target.select(*keys, F.xxhash64(*keys).alias("key_hash"))
+    return (
+        hashed.join(suspects, "key_hash", "left_semi")
+        .groupBy(*keys)
+        .agg(F.count("*").alias("n"))
+        .agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    )
+
+
+def _prescreened_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFrame:
+    """The same measures with a narrow shuffle: 64-bit key hashes instead of the keys.
+
+    Rows with equal keys have equal hashes, so a table without a repeated hash has
+    no repeated key. Hashes that do repeat are suspects, and only their rows are
+    grouped by the keys themselves. Runs one job to learn how many there are.
+    """
+    rows = target.select(
+        F.xxhash64(*spec.keys).alias("key_hash"),
+        F.when(_any_null(spec.keys), 1).otherwise(0).alias("null_key"),
+        (F.when(_bare_prefix(spec), 1).otherwise(0) if spec.key_prefixes else F.lit(0)).alias(
+            "bare_key"
+        ),
+        fingerprint(spec.checksum_columns, method).alias("fingerprint"),
+    )
+    groups = rows.groupBy("key_hash").agg(
+        F.count("*").alias("n"),
+        F.sum("null_key").alias("null_key"),
+        F.sum("bare_key").alias("bare_key"),
+        *hash_sum_lanes("fingerprint"),
+    )
+    found = groups.agg(
+        _total(F.col("n")).alias("target_rows"),
+        F.count_if(F.col("n") > 1).alias("suspects"),
+        _total(F.col("null_key")).alias("null_rows"),
+        _total(F.col("bare_key")).alias("collapsed_rows"),
+        *merge_lanes(),
+    ).first()
+    spark = target.sparkSession
+    measured = spark.range(1).select(
+        *[
+            F.lit(value).cast("bigint").alias(name)
+            for name, value in found.asDict().items()
+            if name != "suspects"
+        ]
+    )
+    if not found["suspects"]:
+        return measured.withColumn("duplicate_keys", F.lit(0).cast("bigint"))
+    suspects = (
+        target.groupBy(F.xxhash64(*spec.keys).alias("key_hash"))
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > 1)
+        .select("key_hash")
+    )
+    exact = duplicate_key_count(target, spec.keys, suspects, found["suspects"])
+    return measured.withColumn("duplicate_keys", exact.scalar())
+
+
 def audit_links(
     target: DataFrame,
     source: DataFrame,
@@ -236,6 +311,7 @@ def audit_links(
     expected_rows: DataFrame | None = None,
     expected_checksum: str | None = None,
     stamped: bool = True,
+    prescreen: bool = False,
 ) -> DataFrame:
     """Check rows (CHECK_NAME, STATUS, DETAILS, CHECK_TIMESTAMP) for a target table.
 
@@ -245,16 +321,19 @@ def audit_links(
     ``expected_checksum`` adds Expected Checksum, and key prefixes in the spec add
     Collapsed Key, which counts ids made of the bare prefix of a null key. Checks
     whose columns are missing are reported as SKIP.
+
+    The measures take one pass and one shuffle of the keys. ``prescreen`` looks for
+    repeated 64-bit key hashes first, which shuffles about a third as much and
+    leaves the keys themselves to be compared only where hashes repeat; it starts a
+    job while the report is being built.
     """
     missing = missing_columns(target, spec.contract)
-    keyed = all(k in target.columns for k in spec.keys)
-    summed = all(c in target.columns for c in spec.checksum_columns)
+    keyed, summed = _has(target, spec.keys), _has(target, spec.checksum_columns)
     skipped = f"Skipped, missing columns: {missing}"
 
     source_rows = source.filter(F.expr(spec.source_valid)).agg(F.count("*").alias("n"))
-    metrics = _target_metrics(target, spec, checksum_method).withColumn(
-        "source_rows", source_rows.scalar()
-    )
+    measure = _prescreened_metrics if prescreen and keyed and summed else _target_metrics
+    metrics = measure(target, spec, checksum_method).withColumn("source_rows", source_rows.scalar())
     if expected_rows is not None:
         metrics = metrics.withColumn("expected_rows", expected_rows.scalar())
 

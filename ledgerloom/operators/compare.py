@@ -110,7 +110,7 @@ def row_diff(
     """
     compared = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
     _require_same_types(source, target, [*keys, *compared])
-    content = row_hash(compared, strict=True) if compared else F.lit("")
+    content = F.unhex(row_hash(compared, strict=True)) if compared else F.lit("")
     versions = (
         _both_sides(source, target, [*keys, content.alias("content")])
         .groupBy(*keys, "content")

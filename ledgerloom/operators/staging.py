@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -35,6 +36,32 @@ def stack_versions(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _digit_shape(pattern: str) -> str | None:
+    """Regular expression for texts of an all-digit format; None for any other format."""
+    if "''" in pattern or set(pattern) & set("[]{}#"):
+        return None
+    shape = "^"
+    for quoted, letters, other in re.findall(r"'([^']*)'|([A-Za-z]+)|([^A-Za-z'])", pattern):
+        if not letters:
+            shape += re.escape(quoted or other)
+            continue
+        for run in re.findall(r"((.)\2*)", letters):
+            if run[1] not in "yMdHhmsS" or len(run[0]) < 2 or run[0] == "yyy" or "MMM" in run[0]:
+                return None
+            shape += f"[0-9]{{{len(run[0])}}}"
+    return shape + "$"
+
+
+def _parsed(text: Column, pattern: str) -> Column:
+    """Text read in one format, else null.
+
+    A failed parse costs an exception inside the parser, so texts of another shape
+    are not handed to it.
+    """
+    value, shape = F.try_to_timestamp(text, F.lit(pattern)), _digit_shape(pattern)
+    return F.when(text.rlike(shape), value) if shape else value
+
+
 @dataclass(frozen=True)
 class ColumnRule:
     """How one staging column is made from a raw one.
@@ -66,7 +93,7 @@ class ColumnRule:
             return text
         if kind in ("date", "timestamp", "timestamp_ntz"):
             default = DATE_FORMATS if kind == "date" else TIMESTAMP_FORMATS
-            tries = [F.try_to_timestamp(text, F.lit(f)) for f in self.formats or default]
+            tries = [_parsed(text, f) for f in self.formats or default]
             return F.coalesce(*tries).cast(kind)
         return text.try_cast(self.type)
 

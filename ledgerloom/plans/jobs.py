@@ -285,7 +285,8 @@ def audit_link_table(
         )
         expected = counts.agg(F.sum("EXPECTED_ROWS"))
     path = zones.table(RECONCILE, LINK_TABLE)
-    write_table(audit_links(target, source, audit, expected_rows=expected), path)
+    report = audit_links(target, source, audit, expected_rows=expected, prescreen=True)
+    write_table(report, path)
     report = spark.read.parquet(path)
     if raise_on_fail:
         raise_on_failures(report)
