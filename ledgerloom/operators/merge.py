@@ -38,19 +38,45 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def merge_rows(
-    base: DataFrame, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    base: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """``base`` with every key of ``updates`` replaced or inserted.
 
-    Null keys match null keys, so merging twice equals merging once. The updates
-    are unique per key before the join, and only their keys take part in it: Spark
-    broadcasts them when they measure below its threshold, and otherwise sorts and
-    joins, splitting skewed base partitions under adaptive execution.
+    Null keys match null keys, so merging twice equals merging once. ``updates`` is
+    evaluated twice; :func:`ledgerloom.sources.sinks.upsert_table` writes it down
+    first, which a source that may change between two reads needs.
+    """
+    fresh = latest_per_key(in_base_order(base, updates), keys, order_by)
+    return replace_keys(base, fresh, keys)
+
+
+def in_base_order(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates with the base's columns first and new ones after; none may be missing."""
+    missing = [c for c in base.columns if c not in updates.columns]
+    if missing:
+        raise ValueError(f"updates lack the columns {missing}")
+    return updates.select(*base.columns, *[c for c in updates.columns if c not in base.columns])
+
+
+def replace_keys(
+    base: DataFrame, fresh: DataFrame, keys: Sequence[str], broadcast: bool | None = None
+) -> DataFrame:
+    """Merge rows that are already unique per key.
+
+    Only the keys take part in the join. ``broadcast=True`` is for a caller who has
+    measured them and spares the base its shuffle; ``False`` asks for a sort-merge
+    join, whose skewed base partitions adaptive execution splits; by default Spark
+    decides from its own size check. Columns new in the fresh rows are null in the
+    base's.
     """
-    fresh = latest_per_key(updates.select(*base.columns), keys, order_by)
     changed = fresh.select(*[F.col(k).alias(f"update_{k}") for k in keys])
+    if broadcast is not None:
+        changed = changed.hint("broadcast" if broadcast else "merge")
     kept = base.join(changed, _same_key(base, changed, keys), "left_anti")
-    return kept.unionByName(fresh)
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def rows_after(df: DataFrame, column: str, watermark: Watermark) -> DataFrame:

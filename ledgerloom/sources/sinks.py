@@ -9,13 +9,14 @@ lost and tasks run again.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.merge import merge_rows
+from ledgerloom.operators.merge import in_base_order, latest_per_key, replace_keys
 
 SAVE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
@@ -122,6 +123,46 @@ def recover_table(spark: SparkSession, path: str) -> bool:
     return True
 
 
+# Keys of an upsert are broadcast up to this size, measured while they are written;
+# beyond it the join sorts both sides instead.
+MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+KEY_ROW_OVERHEAD = 64
+
+
+@contextmanager
+def _written_updates(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+) -> Iterator[tuple[DataFrame, bool]]:
+    """The newest row per key as a table beside ``path``, and whether its keys are small.
+
+    An upsert uses its updates more than once. Writing them down means the source is
+    read once, all uses see the same rows, and a lost executor never goes back to it.
+    """
+    folder = f"{path.rstrip('/')}__updates_{uuid.uuid4().hex}"
+    size = Observation(f"updates-{uuid.uuid4().hex}")
+    key_bytes = sum(
+        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0)
+    )
+    fresh = latest_per_key(updates, keys, order_by)
+    measured = fresh.observe(
+        size,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0)).alias("bytes"),
+    )
+    fs, target = _file_system(spark, folder)
+    try:
+        measured.write.parquet(folder)
+        total = size.get["bytes"] + size.get["rows"] * KEY_ROW_OVERHEAD
+        written = spark.read.schema(fresh.schema).parquet(folder)
+        yield written, total <= MAX_BROADCAST_KEY_BYTES
+    finally:
+        fs.delete(target, True)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -129,11 +170,17 @@ def upsert_table(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
 ) -> WriteResult:
-    """Merge updates into a table and swap the result in; creates a missing table."""
+    """Merge updates into a table and swap the result in; creates a missing table.
+
+    Columns the table does not have yet are added.
+    """
     recover_table(spark, path)
     if not path_exists(spark, path):
-        return replace_table(merge_rows(updates.limit(0), updates, keys, order_by), path)
-    return replace_table(merge_rows(spark.read.parquet(path), updates, keys, order_by), path)
+        return replace_table(latest_per_key(updates, keys, order_by), path)
+    base = spark.read.parquet(path)
+    ordered = in_base_order(base, updates)
+    with _written_updates(spark, path, ordered, keys, order_by) as (fresh, small):
+        return replace_table(replace_keys(base, fresh, keys, broadcast=small), path)
 
 
 # Partition lists up to this length become a pruning filter; it bounds what the
@@ -159,19 +206,22 @@ def upsert_partitions(
     if not set(partition_by) <= set(keys):
         raise ValueError(f"partition columns {list(partition_by)} must be part of the key")
     if not path_exists(spark, path):
-        merged = merge_rows(updates.limit(0), updates, keys, order_by)
-        return write_table(merged, path, "overwrite", partition_by)
+        return write_table(latest_per_key(updates, keys, order_by), path, "overwrite", partition_by)
 
     base = spark.read.parquet(path)
-    fresh = updates.select(*[F.col(f.name).cast(f.dataType) for f in base.schema.fields])
-    touched = fresh.select(*partition_by).distinct()
-    listed = touched.take(MAX_LISTED_PARTITIONS + 1)
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        affected = base.filter(_one_of(listed, partition_by))
-    else:
-        affected = base.join(touched, list(partition_by), "left_semi")
-    merged = merge_rows(affected, fresh, keys, order_by)
-    return write_table(merged, path, "overwrite", partition_by, replace_partitions=True)
+    added = sorted(set(updates.columns) - set(base.columns))
+    if added:
+        raise ValueError(f"columns {added} are not in {path}; untouched partitions would lack them")
+    cast = updates.select(*[F.col(f.name).cast(f.dataType) for f in base.schema.fields])
+    with _written_updates(spark, path, cast, keys, order_by) as (fresh, small):
+        touched = fresh.select(*partition_by).distinct()
+        listed = touched.take(MAX_LISTED_PARTITIONS + 1)
+        if len(listed) <= MAX_LISTED_PARTITIONS:
+            affected = base.filter(_one_of(listed, partition_by))
+        else:
+            affected = base.join(touched, list(partition_by), "left_semi")
+        merged = replace_keys(affected, fresh, keys, broadcast=small)
+        return write_table(merged, path, "overwrite", partition_by, replace_partitions=True)
 
 
 def _one_of(rows, columns: Sequence[str]):

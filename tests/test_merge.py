@@ -67,13 +67,56 @@ def test_upsert_table_twice_and_from_nothing(spark, base, news, path):
     assert set(rows(spark.read.parquet(path))) == MERGED
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_both_join_strategies_merge_alike(spark, base, news, path, monkeypatch, limit):
+    monkeypatch.setattr(sinks, "MAX_BROADCAST_KEY_BYTES", limit)
+    sinks.write_table(base, path)
+    sinks.upsert_table(spark, path, news, ["k"], ["seen"])
+    assert set(rows(spark.read.parquet(path))) == MERGED
+
+
+def test_join_strategy_follows_the_measured_size(base, news):
+    fresh = merge.latest_per_key(news, ["k"], ["seen"])
+
+    def plan(broadcast):
+        merged = merge.replace_keys(base, fresh, ["k"], broadcast)
+        return merged._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(True)
+    assert "SortMergeJoin" in plan(False) and "BroadcastHashJoin" not in plan(False)
+
+
+def test_updates_are_read_once(spark, base, news, path, tmp_path):
+    """A source that changes between two reads must not lose or double keys."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    sinks.write_table(base, path)
+    sinks.upsert_table(spark, path, news.mapInPandas(count, SCHEMA), ["k"], ["seen"])
+    assert seen.value == len(NEWS)
+    assert [p.name for p in tmp_path.iterdir()] == [path.rsplit("/", 1)[1]]
+
+
+def test_updates_may_add_columns_but_not_lack_them(spark, base, news, path):
+    sinks.write_table(base, path)
+    sinks.upsert_table(spark, path, news.withColumn("extra", F.lit("e")), ["k"], ["seen"])
+    got = {r.k: r.extra for r in spark.read.parquet(path).collect()}
+    assert got == {"a": None, "b": "e", "c": "e", None: "e"}
+    with pytest.raises(ValueError, match="seen"):
+        sinks.upsert_table(spark, path, news.drop("seen"), ["k"])
+
+
 def test_a_failed_write_keeps_the_table(spark, base, news, path, tmp_path):
     sinks.write_table(base, path)
     broken = news.withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
     with pytest.raises(Exception, match="boom"):
         sinks.upsert_table(spark, path, broken, ["k"])
     assert rows(spark.read.parquet(path)) == sorted(BASE, key=repr)
-    assert [p.name for p in tmp_path.iterdir() if "__staged" in p.name] == []
+    assert [p.name for p in tmp_path.iterdir() if "__" in p.name] == []
 
 
 def test_recover_after_a_cut_swap(spark, base, news, path):
@@ -109,5 +152,7 @@ def test_upsert_partitions_rewrites_only_touched_ones(spark, path, monkeypatch,
     ]
     kept = set(table.filter("day = 'd1' AND region = 1").inputFiles())
     assert untouched & kept
+    with pytest.raises(ValueError, match="extra"):
+        sinks.upsert_partitions(spark, path, new.withColumn("extra", F.lit(1)), keys, by)
     with pytest.raises(ValueError, match="part of the key"):
         sinks.upsert_partitions(spark, path, new, ["k"], by)
