@@ -359,9 +359,18 @@ ORACLES: dict[str, str] = {
     "incremental_watermark": """SELECT CAST(max(event_id) AS VARCHAR) AS high_water_mark
         FROM events""",
     "incremental_ingest": "SELECT event_id, user_id, event_type FROM events",
-    "slices_by_range": """SELECT CAST(CASE WHEN o_orderkey < 1000 THEN 0 WHEN o_orderkey < 5000 THEN 1
-        WHEN o_orderkey < 10000 THEN 2 ELSE 3 END AS INTEGER) AS slice, count(*) AS row_count
-        FROM orders GROUP BY 1""",
+    "slices_by_range": "\nUNION ALL\n".join(
+        f"""SELECT CAST({i} AS INTEGER) AS slice, count(*) FILTER (WHERE {rule}) AS row_count
+        FROM orders"""
+        for i, rule in enumerate(
+            (
+                "o_orderkey < 1000",
+                "o_orderkey BETWEEN 1000 AND 4999",
+                "o_orderkey BETWEEN 5000 AND 9999",
+                "o_orderkey >= 10000",
+            )
+        )
+    ),
     "slices_even": """SELECT CAST(o_orderkey % 7 AS INTEGER) AS slice, count(*) AS row_count
         FROM orders GROUP BY 1""",
     "parquet_roundtrip": f"SELECT {_ORDERS} FROM orders",
