@@ -106,20 +106,43 @@ class ColumnRule:
         return reason
 
 
-def normalise(df: DataFrame, rules: Sequence[ColumnRule], keep_rest: bool = True) -> DataFrame:
-    """Apply the rules; values that cannot be read become null."""
+REJECT_REASON = "REJECT_REASON"
+
+
+def reject_reason(rules: Sequence[ColumnRule]) -> Column:
+    """All problems of a row in one text, empty for a good row."""
+    return F.concat_ws("; ", *[r.problem() for r in rules])
+
+
+def _staged_columns(df: DataFrame, rules: Sequence[ColumnRule], keep_rest: bool) -> list[Column]:
     used = {r.raw_name for r in rules} | {r.name for r in rules}
     rest = [F.col(c) for c in df.columns if c not in used] if keep_rest else []
-    return df.select(*[r.value().alias(r.name) for r in rules], *rest)
+    return [*[r.value().alias(r.name) for r in rules], *rest]
+
+
+def normalise(df: DataFrame, rules: Sequence[ColumnRule], keep_rest: bool = True) -> DataFrame:
+    """Apply the rules; values that cannot be read become null."""
+    return df.select(*_staged_columns(df, rules, keep_rest))
+
+
+def judged(df: DataFrame, rules: Sequence[ColumnRule], keep_rest: bool = True) -> DataFrame:
+    """Normalised rows, good and bad, with REJECT_REASON."""
+    return df.select(
+        *_staged_columns(df, rules, keep_rest), reject_reason(rules).alias(REJECT_REASON)
+    )
+
+
+def quarantined(df: DataFrame, rules: Sequence[ColumnRule]) -> DataFrame:
+    """The bad rows as they came, with REJECT_REASON."""
+    return df.withColumn(REJECT_REASON, reject_reason(rules)).filter(F.col(REJECT_REASON) != "")
 
 
 def quarantine_split(
     df: DataFrame, rules: Sequence[ColumnRule], keep_rest: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(normalised good rows, raw bad rows with REJECT_REASON); together they are all rows."""
-    reason = F.concat_ws("; ", *[r.problem() for r in rules])
-    good = normalise(df.filter(reason == ""), rules, keep_rest)
-    return good, df.withColumn("REJECT_REASON", reason).filter(F.col("REJECT_REASON") != "")
+    good = judged(df, rules, keep_rest).filter(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
+    return good, quarantined(df, rules)
 
 
 def split_by_rule(df: DataFrame, predicate: str) -> tuple[DataFrame, DataFrame]:

@@ -6,17 +6,19 @@ wrote. Scheduling and retries are left to whatever calls them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.checks import audit_links, count_snapshot, raise_on_failures
+from ledgerloom.operators.compare import row_diff
 from ledgerloom.operators.mapping import (
     ALL_BLOCKS,
     LinkSpec,
@@ -26,9 +28,11 @@ from ledgerloom.operators.mapping import (
 )
 from ledgerloom.operators.merge import Watermark, high_water_mark, rows_after
 from ledgerloom.operators.staging import (
+    REJECT_REASON,
     ColumnRule,
     drop_duplicate_rows,
-    quarantine_split,
+    judged,
+    quarantined,
     with_etl_date,
     with_ingest_metadata,
 )
@@ -212,15 +216,21 @@ def stage_table(
 ) -> tuple[WriteResult, WriteResult | None]:
     """Raw to staging: clean by the rules, drop duplicate rows, quarantine bad ones.
 
-    Without rules it only drops duplicates and the second result is None.
+    Without rules it only drops duplicates and the second result is None. With rules
+    the first pass also counts the bad rows, and raw is read again only if there are
+    any. The observation also keeps Spark from judging every row twice, once to
+    filter and once to project.
     """
     raw = read_parquet(spark, zones.table(RAW, name), merge_schema)
     path = zones.table(STAGING, name)
     if not rules:
         return write_table(drop_duplicate_rows(raw), path), None
-    good, bad = quarantine_split(raw, rules)
-    rejected = write_table(bad, zones.table(QUARANTINE, name))
-    return write_table(drop_duplicate_rows(good), path), rejected
+    seen = Observation(f"rejects-{uuid.uuid4().hex}")
+    rated = judged(raw, rules).observe(seen, F.count_if(F.col(REJECT_REASON) != "").alias("bad"))
+    good = rated.filter(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
+    staged = write_table(drop_duplicate_rows(good), path)
+    bad = quarantined(raw if seen.get["bad"] else raw.limit(0), rules)
+    return staged, write_table(bad, zones.table(QUARANTINE, name))
 
 
 def publish_table(
@@ -293,6 +303,22 @@ def audit_link_table(
     return report
 
 
+def reconcile_table(
+    spark: SparkSession,
+    zones: Zones,
+    name: str,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    source_zone: str = STAGING,
+    target_zone: str = SOR,
+) -> WriteResult:
+    """Write every key whose rows differ between two zones; no rows means they agree."""
+    wanted = [*keys, *columns]
+    source = spark.read.parquet(zones.table(source_zone, name)).select(*wanted)
+    target = spark.read.parquet(zones.table(target_zone, name)).select(*wanted)
+    return write_table(row_diff(source, target, keys), zones.table(RECONCILE, f"{name}_diff"))
+
+
 def snapshot_counts(
     spark: SparkSession, zones: Zones, name: str, run_date: str, output: str = "date"
 ) -> WriteResult:

@@ -114,6 +114,26 @@ def test_stage_and_publish(spark, zones):
     assert staged.rows == 4 and rejected is None
 
 
+def test_clean_tables_are_staged_in_one_pass(spark, zones):
+    sinks.write_table(spark.createDataFrame(DIRTY[:2], DIRTY_SCHEMA), zones.table(RAW, "t"))
+    staged, rejected = jobs.stage_table(spark, zones, "t", RULES)
+    assert (staged.rows, rejected.rows) == (2, 0)
+    empty = spark.read.parquet(zones.table(QUARANTINE, "t"))
+    assert empty.columns == ["id", "day", "amount", "note", "extra", "REJECT_REASON"]
+
+
+def test_reconcile_table(spark, zones):
+    rows = spark.range(10).select("id", F.col("id").alias("v"))
+    sinks.write_table(rows, zones.table(STAGING, "t"))
+    sinks.write_table(rows, zones.table(SOR, "t"))
+    assert jobs.reconcile_table(spark, zones, "t", ["id"], ["v"]).rows == 0
+    edited = rows.filter("id > 0").withColumn("v", F.when(F.col("id") == 5, 0).otherwise(F.col("v")))
+    sinks.write_table(edited, zones.table(SOR, "t"))
+    assert jobs.reconcile_table(spark, zones, "t", ["id"], ["v"]).rows == 2
+    diff = spark.read.parquet(zones.table(RECONCILE, "t_diff"))
+    assert {r.id: r.status for r in diff.collect()} == {0: "MISSING", 5: "CHANGED"}
+
+
 def test_increments_take_nothing_twice(spark, zones):
     rows = spark.range(10).select("id", F.col("id").alias("version"))
     jobs.ingest_increment(spark, rows.filter("id < 6"), zones, "t", ["id"], "version")
