@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -170,8 +171,10 @@ def select_blocks(spec: LinkSpec, blocks: str | Iterable[str] = ALL_BLOCKS) -> s
 
 
 def parse_run_date(run_date: str) -> Column:
-    """A ``yyyyMMdd`` run date as a date literal; anything else raises when the plan runs."""
-    return F.to_date(F.lit(run_date), "yyyyMMdd")
+    """A ``yyyyMMdd`` run date as a date literal; anything else raises."""
+    if len(run_date) != 8 or not run_date.isdigit():
+        raise ValueError(f"run date {run_date!r} is not of the form yyyyMMdd")
+    return F.lit(datetime.strptime(run_date, "%Y%m%d").date())
 
 
 def as_lenient_date(df: DataFrame, name: str) -> Column:

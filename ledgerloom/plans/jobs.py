@@ -218,8 +218,9 @@ def stage_table(
 
     Without rules it only drops duplicates and the second result is None. With rules
     the first pass also counts the bad rows, and raw is read again only if there are
-    any. The observation also keeps Spark from judging every row twice, once to
-    filter and once to project.
+    any; tasks that run again may count twice, so only zero or not is used. The
+    observation also keeps Spark from judging every row twice, once to filter and
+    once to project.
     """
     raw = read_parquet(spark, zones.table(RAW, name), merge_schema)
     path = zones.table(STAGING, name)
@@ -278,11 +279,14 @@ def audit_link_table(
     thorough: bool = False,
     blocks: str | Iterable[str] = ALL_BLOCKS,
     raise_on_fail: bool = False,
+    prescreen: bool = True,
 ) -> DataFrame:
     """Audit the relationship table against raw and write the summary.
 
     ``thorough`` adds the Expected Rows and Collapsed Key checks. Failed checks are
     only reported unless ``raise_on_fail`` is set; the summary is written either way.
+    ``prescreen`` is explained at :func:`audit_links`; a table known to hold many
+    repeated keys is audited faster without it.
     """
     target = spark.read.parquet(zones.table(SOR, LINK_TABLE))
     source = spark.read.parquet(zones.table(RAW, ACCOUNT_TABLE))
@@ -295,7 +299,7 @@ def audit_link_table(
         )
         expected = counts.agg(F.sum("EXPECTED_ROWS"))
     path = zones.table(RECONCILE, LINK_TABLE)
-    report = audit_links(target, source, audit, expected_rows=expected, prescreen=True)
+    report = audit_links(target, source, audit, expected_rows=expected, prescreen=prescreen)
     write_table(report, path)
     report = spark.read.parquet(path)
     if raise_on_fail:

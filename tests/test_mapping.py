@@ -117,6 +117,12 @@ def test_block_selection():
             select_blocks(LINKS, wrong)
 
 
+def test_run_date_must_be_a_date(tables):
+    for wrong in ("2024-01-31", "20240230", "2024131", ""):
+        with pytest.raises(ValueError):
+            map_links(tables, LINKS, wrong)
+
+
 def test_unneeded_sources_are_not_read(tables):
     def reader(name):
         assert name == BILL_TABLE
