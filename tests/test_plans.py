@@ -90,3 +90,28 @@ def test_hot_keys_keep_results_whole(spark, skewed):
     updates = spark.createDataFrame([("hot", -1), ("new", -2)], "k string, v bigint")
     merged = merge.merge_rows(skewed, updates, ["k"])
     assert merged.count() == 2 * n // 3 + 2
+
+
+def test_sort_merge_upsert_splits_a_hot_base_partition(spark, skewed):
+    tuned = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {key: spark.conf.get(key) for key in tuned}
+    updates = skewed.filter("k NOT IN ('hot', 'copy')").withColumn("v", -F.col("v"))
+    try:
+        for key, value in tuned.items():
+            spark.conf.set(key, value)
+        merged = merge.replace_keys(
+            skewed.repartition(8), merge.latest_per_key(updates, ["k"]), ["k"], broadcast=False
+        )
+        checked = merged.agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+        row = checked.collect()[0]
+        plan = plan_of(checked)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    hot = sum(range(30_000))
+    assert (row.n, row.v) == (90_000, hot - sum(range(60_000, 90_000)))
