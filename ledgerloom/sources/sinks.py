@@ -12,9 +12,11 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.merge import in_base_order, latest_per_key, replace_keys
 
@@ -206,40 +208,46 @@ def upsert_partitions(
     if not set(partition_by) <= set(keys):
         raise ValueError(f"partition columns {list(partition_by)} must be part of the key")
     if not path_exists(spark, path):
-        return write_table(latest_per_key(updates, keys, order_by), path, "overwrite", partition_by)
+        first = updates.select(*[_as_stored(f, partition_by) for f in updates.schema.fields])
+        return write_table(latest_per_key(first, keys, order_by), path, "overwrite", partition_by)
 
     base = spark.read.parquet(path)
     added = sorted(set(updates.columns) - set(base.columns))
     if added:
         raise ValueError(f"columns {added} are not in {path}; untouched partitions would lack them")
-    cast = updates.select(*[F.col(f.name).cast(f.dataType) for f in base.schema.fields])
+    cast = updates.select(*[_as_stored(f, partition_by) for f in base.schema.fields])
     with _written_updates(spark, path, cast, keys, order_by) as (fresh, small):
-        touched = fresh.select(*partition_by).distinct()
-        listed = touched.take(MAX_LISTED_PARTITIONS + 1)
-        if len(listed) <= MAX_LISTED_PARTITIONS:
-            affected = base.filter(_one_of(listed, partition_by))
-        else:
-            affected = base.join(touched, list(partition_by), "left_semi")
+        affected = _rows_of_touched_partitions(base, fresh, partition_by)
         merged = replace_keys(affected, fresh, keys, broadcast=small)
         return write_table(merged, path, "overwrite", partition_by, replace_partitions=True)
 
 
-def _one_of(rows, columns: Sequence[str]):
-    """A filter on the listed partition values, in a form partition pruning can use."""
-    if not rows:
-        return F.lit(False)
-    if len(columns) == 1:
-        name = columns[0]
-        values = [r[0] for r in rows if r[0] is not None]
-        hit = F.col(name).isin(values) if values else F.lit(False)
-        return hit | F.col(name).isNull() if any(r[0] is None for r in rows) else hit
-    conditions = []
-    for row in rows:
-        test = F.lit(True)
-        for name, value in zip(columns, row):
-            test = test & F.col(name).eqNullSafe(F.lit(value))
-        conditions.append(test)
-    while len(conditions) > 1:
-        paired = [a | b for a, b in zip(conditions[::2], conditions[1::2])]
-        conditions = paired + ([conditions[-1]] if len(conditions) % 2 else [])
-    return conditions[0]
+def _as_stored(field: T.StructField, partition_by: Sequence[str]) -> Column:
+    """A column in the table's type; a blank partition value is stored, and read, as null."""
+    value = F.col(field.name).cast(field.dataType)
+    if field.name in partition_by and isinstance(field.dataType, T.StringType):
+        value = F.nullif(value, F.lit(""))
+    return value.alias(field.name)
+
+
+def _rows_of_touched_partitions(
+    base: DataFrame, fresh: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """All base rows in partitions the fresh rows fall in, null partitions included."""
+    touched = fresh.select(*[F.col(c).alias(f"touched_{c}") for c in partition_by]).distinct()
+    listed = touched.take(MAX_LISTED_PARTITIONS + 1)
+    if len(listed) <= MAX_LISTED_PARTITIONS:
+        for i, name in enumerate(partition_by):
+            base = base.filter(_one_of(name, {row[i] for row in listed}))
+        if len(partition_by) == 1:
+            return base
+        touched = F.broadcast(touched)
+    same = [base[c].eqNullSafe(touched[f"touched_{c}"]) for c in partition_by]
+    return base.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
+
+
+def _one_of(name: str, values: set) -> Column:
+    """A filter on listed values in a form partition pruning can use."""
+    known = [v for v in values if v is not None]
+    hit = F.col(name).isin(known) if known else F.lit(False)
+    return hit | F.col(name).isNull() if None in values else hit

@@ -156,3 +156,20 @@ def test_upsert_partitions_rewrites_only_touched_ones(spark, path, monkeypatch,
         sinks.upsert_partitions(spark, path, new.withColumn("extra", F.lit(1)), keys, by)
     with pytest.raises(ValueError, match="part of the key"):
         sinks.upsert_partitions(spark, path, new, ["k"], by)
+
+
+@pytest.mark.parametrize("by", [["day"], ["day", "region"]])
+@pytest.mark.parametrize("listed", [10_000, 0])
+def test_null_and_blank_partitions_are_merged_not_lost(spark, path, monkeypatch, by, listed):
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", listed)
+    schema, keys = "day string, region int, k string, v string", ["day", "region", "k"]
+    old = [(None, 1, "a", "1"), (None, 1, "b", "2"), ("d1", 1, "c", "3"), (None, 2, "e", "5")]
+    sinks.upsert_partitions(spark, path, spark.createDataFrame(old, schema), keys, by)
+    new = [(None, 1, "a", "9"), ("", 1, "d", "4")]
+    sinks.upsert_partitions(spark, path, spark.createDataFrame(new, schema), keys, by)
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path).select("day", "region", "k", "v")) == sorted(
+        [(None, 1, "a", "9"), (None, 1, "b", "2"), (None, 1, "d", "4"), (None, 2, "e", "5"),
+         ("d1", 1, "c", "3")],
+        key=repr,
+    )
