@@ -148,6 +148,29 @@ def ingest_tables(
     return results
 
 
+def raw_tables(
+    spark: SparkSession, zones: Zones, run_date: str | None = None
+) -> Callable[[str], DataFrame]:
+    """Reader of raw tables by name; with a run date, of that date's partition only."""
+
+    def read(name: str) -> DataFrame:
+        rows = read_parquet(spark, zones.table(RAW, name))
+        return rows if run_date is None else of_run(rows, run_date)
+
+    return read
+
+
+def of_run(rows: DataFrame, run_date: str) -> DataFrame:
+    """Rows of one run; on a table kept by date the filter prunes partitions.
+
+    Spark reads partition values that look like numbers as numbers, so the run date
+    is compared in the column's type and handed on as text.
+    """
+    stored = rows.schema["ETL_DATE"].dataType
+    picked = rows.filter(F.col("ETL_DATE") == F.lit(run_date).cast(stored))
+    return with_etl_date(picked, run_date)
+
+
 def run_log(
     spark: SparkSession,
     results: Sequence[StepResult],
@@ -213,16 +236,20 @@ def stage_table(
     name: str,
     rules: Sequence[ColumnRule] = (),
     merge_schema: bool = False,
+    run_date: str | None = None,
 ) -> tuple[WriteResult, WriteResult | None]:
     """Raw to staging: clean by the rules, drop duplicate rows, quarantine bad ones.
 
-    Without rules it only drops duplicates and the second result is None. With rules
+    A run date takes only that run of a table kept by date. Without rules it only
+    drops duplicates and the second result is None. With rules
     the first pass also counts the bad rows, and raw is read again only if there are
     any; tasks that run again may count twice, so only zero or not is used. The
     observation also keeps Spark from judging every row twice, once to filter and
     once to project.
     """
     raw = read_parquet(spark, zones.table(RAW, name), merge_schema)
+    if run_date is not None:
+        raw = of_run(raw, run_date)
     path = zones.table(STAGING, name)
     if not rules:
         return write_table(drop_duplicate_rows(raw), path), None
@@ -257,9 +284,10 @@ def build_links(
 ) -> WriteResult:
     """Raw to the relationship table in the system of record, replacing it whole.
 
-    A run of some blocks therefore leaves only those blocks in the table.
+    A run of some blocks therefore leaves only those blocks in the table. Where raw
+    is kept by date, pass ``raw_tables(spark, zones, run_date)`` as ``tables``.
     """
-    read = tables or (lambda name: spark.read.parquet(zones.table(RAW, name)))
+    read = tables or raw_tables(spark, zones)
     links = map_links(read, spec, run_date, run_type, blocks, null_keys)
     return write_table(links, zones.table(SOR, spec.name))
 
@@ -280,6 +308,7 @@ def audit_link_table(
     blocks: str | Iterable[str] = ALL_BLOCKS,
     raise_on_fail: bool = False,
     prescreen: bool = True,
+    tables: Callable[[str], DataFrame] | None = None,
 ) -> DataFrame:
     """Audit the relationship table against raw and write the summary.
 
@@ -289,14 +318,13 @@ def audit_link_table(
     repeated keys is audited faster without it.
     """
     target = spark.read.parquet(zones.table(SOR, LINK_TABLE))
-    source = spark.read.parquet(zones.table(RAW, ACCOUNT_TABLE))
+    read = tables or raw_tables(spark, zones)
+    source = read(ACCOUNT_TABLE)
     audit, expected = LINK_AUDIT, None
     if thorough:
         select_blocks(spec, blocks)
         audit = with_key_prefixes(audit, spec)
-        counts = expected_link_counts(
-            lambda name: spark.read.parquet(zones.table(RAW, name)), spec, blocks
-        )
+        counts = expected_link_counts(read, spec, blocks)
         expected = counts.agg(F.sum("EXPECTED_ROWS"))
     path = zones.table(RECONCILE, LINK_TABLE)
     report = audit_links(target, source, audit, expected_rows=expected, prescreen=prescreen)

@@ -93,6 +93,28 @@ def test_links_and_audit(spark, zones):
     assert report["Row Count"] == "PASS" and report["Expected Rows"] == "FAIL"
 
 
+def test_raw_kept_by_date_is_read_one_run_at_a_time(spark, zones):
+    for run_date, rows in (("20240130", [gam_row()]), ("20240131", [gam_row(), gam_row("A2")])):
+        for name, data, schema in ((ACCOUNT_TABLE, rows, GAM), (BILL_TABLE, [], FBM)):
+            location = zones.table("source", f"{name}_{run_date}")
+            sinks.write_table(spark.createDataFrame(data, schema), location)
+            jobs.ingest_tables(
+                spark, [TableSource(name, location)], zones, run_date, by_date=True
+            )
+    run = jobs.raw_tables(spark, zones, "20240131")
+    plan = run(ACCOUNT_TABLE)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ETL_DATE" in plan
+    assert {r.ETL_DATE for r in run(ACCOUNT_TABLE).collect()} == {"20240131"}
+    assert jobs.build_links(spark, zones, "20240131", tables=jobs.raw_tables(
+        spark, zones, "20240130"), blocks="1,2,3,7").rows == 3
+    assert jobs.build_links(spark, zones, "20240131", tables=run, blocks="1,2,3,7").rows == 6
+    report = jobs.audit_link_table(spark, zones, tables=run)
+    assert report.filter("CHECK_NAME = 'Row Count'").first().DETAILS == (
+        "Raw GAM Valid Rows: 2, SOR Rows: 6"
+    )
+    assert jobs.stage_table(spark, zones, ACCOUNT_TABLE, run_date="20240130")[0].rows == 1
+
+
 def test_a_failed_audit_is_written_before_it_raises(spark, zones):
     banking(spark, zones, [gam_row(acid=None)], [])
     jobs.build_links(spark, zones, "20240131", blocks="2,3,7")
