@@ -405,4 +405,6 @@ ORACLES: dict[str, str] = {
         CASE WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS "ENTITY_CRE_FLG",
         '{RUN_DATE}' AS "ETL_DATE" FROM lineitem""",
 }
+ORACLES["zone_chain_quarantine"] = ORACLES["quarantine_bad"]
+ORACLES["zone_chain_diff"] = ORACLES["row_diff"]
 ORACLES["upsert_table_twice"] = ORACLES["upsert_by_key"]

@@ -28,7 +28,7 @@ from ledgerloom.operators import checks, compare, mapping, merge, staging
 from ledgerloom.plans import jobs
 from ledgerloom.plans.links import ACCOUNT_TABLE, BILL_TABLE, LINK_TABLE, with_key_prefixes
 from ledgerloom.sources import files, jdbc, sinks
-from ledgerloom.sources.zones import RAW, RECONCILE, SOR, STAGING, Zones, shared_scratch
+from ledgerloom.sources.zones import QUARANTINE, RAW, RECONCILE, SOR, STAGING, Zones, shared_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -724,6 +724,26 @@ def zone_chain_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(zones.table(SOR, "orders"))
 
 
+@query
+def zone_chain_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows staging set aside."""
+    zones = _scratch_zones(spark, "quarantine")
+    sinks.write_table(untidy_orders(spark, sf_dir), zones.table(RAW, "orders"))
+    jobs.stage_table(spark, zones, "orders", STAGING_RULES)
+    return spark.read.parquet(zones.table(QUARANTINE, "orders"))
+
+
+@query
+def zone_chain_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging against a system of record that drifted away from it."""
+    zones = _scratch_zones(spark, "diff")
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    sinks.write_table(orders, zones.table(STAGING, "orders"))
+    sinks.write_table(_drifted_orders(orders), zones.table(SOR, "orders"))
+    jobs.reconcile_table(spark, zones, "orders", ["o_orderkey"], ORDER_COLUMNS[1:])
+    return spark.read.parquet(zones.table(RECONCILE, "orders_diff"))
+
+
 @query
 def zone_chain_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bill table of an earlier run, stamped with this run's date."""
