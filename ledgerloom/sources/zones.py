@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,11 @@ class Zones:
         return f"{self.zone(zone)}/{name}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def shared_scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, in the checkpoint folder the session names.
 
@@ -40,6 +46,5 @@ def shared_scratch(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -153,18 +153,25 @@ def test_zone_paths():
     assert Zones("s3a://").table("raw", "t") == "s3a://raw/t"
 
 
-def test_scratch_uses_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    first, second = shared_scratch(spark, "x"), shared_scratch(spark, "x")
-    assert first != second
-    assert first.startswith(root or spark.conf.get("spark.checkpoint.dir"))
+def session_with(**settings_):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: settings_.get(k[6:], d)))
+
+
+def test_scratch_uses_the_shared_folder():
+    session = session_with(**{"checkpoint.dir": "hdfs:///shared/", "master": "yarn"})
+    first, second = shared_scratch(session, "x"), shared_scratch(session, "x")
+    assert first != second and first.startswith("hdfs:///shared/x-")
+
+
+def test_scratch_of_a_local_session_without_a_folder():
+    session = session_with(master="local[2]")
+    first, second = shared_scratch(session, "x"), shared_scratch(session, "y")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] != ""
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():
-    settings_ = {"spark.master": "yarn"}
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: settings_.get(k, d)))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_scratch(session, "x")
+        shared_scratch(session_with(master="yarn"), "x")
 
 
 @pytest.fixture
