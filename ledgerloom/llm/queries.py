@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import packing
+from ledgerloom.llm import jaccard, mixing, packing
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,79 @@ def query(function: Query) -> Query:
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+ORACLES["op10_systematic_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM sources
+), filled AS (
+  SELECT *, 2.0::DOUBLE * source_size / weight AS fill FROM weighed
+), levels AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(source_size)::BIGINT FROM sources)
+             - 2.0::DOUBLE * coalesce(sum(source_size) OVER before, 0)::BIGINT)
+            / ((SELECT sum(weight) FROM weighed) - coalesce(sum(weight) OVER before, 0))::BIGINT AS level
+  FROM filled
+  WINDOW before AS (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN fill <= (SELECT coalesce(max(level) FILTER (WHERE level <= fill), 'infinity'::DOUBLE) FROM levels)
+              THEN 2.0::DOUBLE * source_size
+              ELSE weight * (SELECT max(level) FILTER (WHERE level <= fill) FROM levels) END AS target,
+         ('0x' || substr(md5(source), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
+  FROM levels
+), ranked AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS expected,
+         row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS row_rank
+  FROM sized JOIN targets USING (source)
+), copied AS (
+  SELECT *, least(floor(row_rank * expected + start)::BIGINT
+                  - floor((row_rank - 1) * expected + start)::BIGINT, 2)::BIGINT AS copies
+  FROM ranked
+)
+SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM copied
+"""
+
+
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+    THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared >= 90 * (p.n + q.n - shared)
+), reached(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) LEFT JOIN sizes USING (doc_id)
+"""
