@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import jaccard, mixing, packing
+from ledgerloom.llm import jaccard, mixing, packing, quality, toxicity
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,20 @@ SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken
 """
 
 
+@query
+def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model)
+
+
+@query
+def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 @query
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
