@@ -35,6 +35,8 @@ GROUPS = 32
 FANOUT = 32
 # Distinct sets compared in one piece; larger clusters are worked on in pages.
 PAGE_SETS = 512
+# Bits of the map of clustered sets that every task gets (2 MB).
+GATE_BITS = 1 << 24
 # Group keys held before they are combined and handed on.
 HELD_KEYS = 1 << 20
 
@@ -67,10 +69,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             if len(found) > 1:
                 found = found[np.concatenate([[True], found[1:] != found[:-1]])]
         elif b > a:
-            short = np.uint64(b - a)
-            for word in words[a:b]:
-                short = mixed(np.array([short + word], np.uint64))[0]
-            found = np.array([short], np.uint64)
+            found = np.array([b - a], np.uint64)
+            for i in range(a, b):
+                found = mixed(found + words[i:i + 1])
         else:
             found = np.zeros(0, np.uint64)
         made.append(found)
@@ -459,17 +460,39 @@ def _id(node: str, second: str) -> Column:
     return F.concat_ws(".", F.col(node), F.col(second))
 
 
+def _gate(clusters: DataFrame) -> np.ndarray:
+    """A bitmap of the clusters' nodes by hash, of fixed size.
+
+    It lets a task drop most texts that are in no cluster before they are shuffled. Its
+    words come to the driver, at most ``GATE_BITS / 64`` of them; a bitmap that fills up
+    lets more texts pass to the join, which decides.
+    """
+    place = F.col("node").bitwiseAND(GATE_BITS - 1)
+    words = (
+        clusters.groupBy(F.shiftright(place, 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(GATE_BITS >> 6, np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bitmap
+
+
 def _verified_links(docs: DataFrame, clusters: DataFrame, threshold: int) -> DataFrame:
     """Links between distinct sets of every cluster, enough to connect all that are linked."""
 
+    gate = docs.sparkSession.sparkContext.broadcast(_gate(clusters))
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in text_slices(batch.column(0)):
                 node, second = set_keys(*shingle_sets(data, offsets))
-                yield pa.RecordBatch.from_arrays(
+                word = gate.value[(node & (GATE_BITS - 1)) >> 6]
+                named = pa.RecordBatch.from_arrays(
                     [pa.array(node), pa.array(second), batch.column(0).slice(a, b - a)],
                     names=["node", "second", "text"],
                 )
+                yield named.filter(pa.array((word >> (node & 63)) & 1 == 1))
 
     named = docs.select("text").mapInArrow(name, "node long, second long, text string")
     sets = written(

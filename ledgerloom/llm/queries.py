@@ -94,7 +94,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
-    THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+    THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM words
 ), sizes AS (
