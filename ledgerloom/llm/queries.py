@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import jaccard, mixing, packing, quality, toxicity
+from ledgerloom.llm import jaccard, langid, mixing, packing, quality, toxicity
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,13 @@ SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken
 """
 
 
+@query
+def op2_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit_languages(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 @query
 def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
