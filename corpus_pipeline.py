@@ -4,20 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing
+from ledgerloom.llm import jaccard, langid, mixing, packing, quality
 from ledgerloom.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts, learned from the labels of ``docs``."""
+    model = quality.quality_model(docs, table(spark, sf_dir, "labels"))
+    return _where(docs, lambda d: quality.score_quality(d, model), F.col("predicted") == 1)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language learned from ``docs``; what no language's model fits goes."""
+    models = langid.fit_languages(docs)
+    return _where(docs, lambda d: langid.predict(d, models), F.col("accepted"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Repeated rows of that document are one; rows without an id stay, since no other row
+    can stand for them by name.
+    """
+    found = jaccard.near_duplicates(docs)
+    keepers = found.filter(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("_kept")
+    )
+    kept = docs.join(keepers, docs["doc_id"] == keepers["_kept"], "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter(docs["doc_id"].isNull()))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, and every copy the mix takes of it, cut and placed in sequences."""
     return packing.pack(spark, docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", packed)]
+def _where(
+    docs: DataFrame, judged: Callable[[DataFrame], DataFrame], condition: Column
+) -> DataFrame:
+    """Rows of ``docs`` that ``judged`` accepts; the row rides along, so nothing is joined."""
+    row = F.struct(*docs.columns).alias("row")
+    return judged(docs.select("doc_id", "text", row)).filter(condition).select("row.*")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("language", known_language),
+    ("near_duplicates", one_of_each),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 # Trained models and a tokenizer decide the rows: SQL cannot express them.
 ORACLE_SQL = None
