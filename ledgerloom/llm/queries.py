@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, langid, mixing, packing, quality, toxicity
+from ledgerloom.llm import jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,54 @@ def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model)
 
 
+@query
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLES["op4_arc_to_warc"] = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS hex
+  FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '')
+    AS payload_digest
+  FROM hashed
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS response FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op5_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op5_mtree_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+
 @query
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
