@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
+from ledgerloom.llm import epsgrid, jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,27 @@ WHERE rank <= 10
 """
 
 
+@query
+def op6_grid_order_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsgrid.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op6_grid_order_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached(a, b) AS (
+  SELECT vec_id, vec_id FROM vectors UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT a AS vec_id, (SELECT count(*) FROM links WHERE links.a = reached.a)::BIGINT AS n_links,
+       min(b) AS component_id, a = min(b) AS kept
+FROM reached GROUP BY a
+"""
+
+
 @query
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
