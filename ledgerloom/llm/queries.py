@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import epsgrid, jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
+from ledgerloom.llm import edits, epsgrid, jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +152,16 @@ FROM reached GROUP BY a
 """
 
 
+@query
+def op7_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A revision of every document, counted from its tree."""
+    docs = table(spark, sf_dir, "documents").withColumn("edits", edits.revision(F.col("text")))
+    counted = edits.edited(edits.with_trees(docs))
+    return counted.select(
+        "doc_id", "tokens_before", "tokens_after", "n_edits", "chars_after", "chars_encoded"
+    )
+
+
 @query
 def op8_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
