@@ -128,6 +128,20 @@ UNION ALL SELECT 'Expected Rows', {_verdict('target.n = expected.n')},
 UNION ALL SELECT 'Expected Checksum', 'FAIL',
     'Expected: rows:0|hash_sum:0, SOR: ' || hashed FROM target"""
 
+# Every row that was to be made was made, and none on a bare prefix.
+_AS_EXPECTED = """
+UNION ALL SELECT 'Collapsed Key', 'PASS', 'Found 0 records keyed on a bare prefix'
+UNION ALL SELECT 'Expected Rows', 'PASS',
+    'Expected Rows: ' || n || ', SOR Rows: ' || n FROM target"""
+
+_REJECTING = "\nUNION ALL\n".join(
+    [
+        _link_sql("1", orders=_GAPS, extra="o_orderkey IS NOT NULL AND o_custkey IS NOT NULL"),
+        _link_sql("237", orders=_GAPS, extra="o_orderkey IS NOT NULL"),
+        _link_sql("8"),
+    ]
+)
+
 _BROKEN = f"""SELECT AR_ID, CASE WHEN AR_X_AU_RLTNP_TP_ID <> {_key('CL|AR_X_AU_TP', "'AR_X_GLSH'")}
     THEN AU_ID END AS AU_ID, AR_X_AU_RLTNP_TP_ID FROM ({_link_sql('13')})"""
 
@@ -157,8 +171,11 @@ def _expected_counts(blocks: str = _ALL) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
 _LINES = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag"
+_ALL_LINES = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+    "l_tax, l_returnflag, l_linestatus, l_shipdate"
+)
 
 _DRIFTED = """(
     SELECT o_orderkey, o_custkey,
@@ -229,9 +246,9 @@ ORACLES: dict[str, str] = {
     "checksum_portable": f"""SELECT {_checksum(_LINE_FINGERPRINT)} AS "CHECKSUM" FROM lineitem""",
     "checksum_empty": """SELECT 'empty_dataframe' AS "CHECKSUM" """,
     "row_fingerprints": f"SELECT {_LINES}, {_LINE_FINGERPRINT} AS fingerprint FROM lineitem",
-    "validity_filter": f"SELECT {_LINES} FROM lineitem WHERE {VALID_LINES}",
-    "in_list_filter": f"SELECT {_ORDERS} FROM orders WHERE {CREDIT_ORDERS}",
-    "full_row_dedup": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
+    "validity_filter": f"SELECT * FROM lineitem WHERE {VALID_LINES}",
+    "in_list_filter": f"SELECT * FROM orders WHERE {CREDIT_ORDERS}",
+    "full_row_dedup": "SELECT DISTINCT * FROM lineitem",
     "duplicate_keys": """SELECT l_orderkey, l_partkey, count(*) AS row_count FROM lineitem
         GROUP BY 1, 2 HAVING count(*) > 1""",
     "null_key_count": f"""SELECT count(*) AS null_rows FROM {_GAPS}
@@ -289,9 +306,9 @@ ORACLES: dict[str, str] = {
             "c_acctbal": "c_acctbal < 0",
         }.items()
     ),
-    "count_before_after": """SELECT count(*) AS rows_before,
-        count(DISTINCT (l_orderkey, l_linenumber)) AS rows_after,
-        count(DISTINCT (l_orderkey, l_linenumber)) - count(*) AS difference FROM lineitem""",
+    "count_before_after": """SELECT 2 * b.n AS rows_before, a.n AS rows_after,
+        a.n - 2 * b.n AS difference FROM (SELECT count(*) AS n FROM lineitem) b,
+        (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM lineitem)) a""",
     "count_by_status": """SELECT o_orderstatus, o_orderpriority, count(*) AS row_count
         FROM orders GROUP BY 1, 2""",
     "sum_by_status": """SELECT o_orderstatus, count(*) AS row_count,
@@ -321,16 +338,16 @@ ORACLES: dict[str, str] = {
         WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR s.o_custkey <> t.o_custkey
             OR s.o_orderstatus <> t.o_orderstatus OR s.o_orderpriority <> t.o_orderpriority""",
     "row_diff_repeated_keys": f"""
-        WITH s AS (SELECT {_LINES}, count(*) AS n FROM lineitem GROUP BY ALL),
-        t AS (SELECT {_LINES}, count(*) AS n FROM lineitem
+        WITH s AS (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL),
+        t AS (SELECT *, count(*) AS n FROM lineitem
             WHERE l_returnflag <> 'R' OR l_linenumber > 3 GROUP BY ALL),
         b AS (SELECT l_orderkey, coalesce(s.n, 0) AS sn, coalesce(t.n, 0) AS tn
-            FROM s FULL OUTER JOIN t USING ({_LINES}))
+            FROM s FULL OUTER JOIN t USING ({_ALL_LINES}))
         SELECT l_orderkey, CAST(sum(sn) AS BIGINT) AS source_rows,
             CAST(sum(tn) AS BIGINT) AS target_rows,
             CASE WHEN sum(tn) = 0 THEN 'MISSING' WHEN bool_or(sn <> tn) THEN 'CHANGED'
                 ELSE 'MATCHED' END AS status FROM b GROUP BY 1""",
-    "enrich_metadata": f"""SELECT {_LINES}, '{RUN_DATE}' AS "ETL_DATE" FROM lineitem""",
+    "enrich_metadata": f"""SELECT *, '{RUN_DATE}' AS "ETL_DATE" FROM lineitem""",
     "normalise_staging": f"SELECT {_STAGED} FROM (SELECT * REPLACE (CASE WHEN o_orderpriority "
     f"= '5-LOW' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS o_orderpriority) FROM orders)",
     "quarantine_good": f"SELECT {_STAGED} FROM orders WHERE o_orderpriority <> '5-LOW'",
@@ -339,26 +356,29 @@ ORACLES: dict[str, str] = {
             ' ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
         o_orderstatus || '  ' AS order_status, 'order_day: not a date' AS "REJECT_REASON"
         FROM orders WHERE o_orderpriority = '5-LOW'""",
-    "quarantine_by_rule": """SELECT event_id, user_id, event_type, value,
+    "quarantine_by_rule": """SELECT *,
         CASE WHEN event_type <> 'error' AND value > 0 THEN 'stg' ELSE 'quarantine' END AS zone
         FROM events""",
     "latest_version": """
-        SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey FROM (
-            SELECT l_orderkey, CAST(l_shipdate AS DATE) AS l_shipdate, l_linenumber, l_partkey,
-                l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY
-                    CAST(l_shipdate AS DATE) DESC, l_linenumber DESC, l_partkey DESC,
-                    l_suppkey DESC) AS rank FROM lineitem) WHERE rank = 1""",
-    "upsert_by_key": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE '9-NEW' END AS o_orderpriority
-        FROM orders""",
-    "upsert_touched_partitions": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        CASE WHEN o_orderstatus = 'P' THEN '9-NEW' ELSE o_orderpriority END AS o_orderpriority
-        FROM orders""",
-    "incremental_since": """SELECT event_id, user_id, event_type FROM events
+        SELECT * EXCLUDE (rank) FROM (
+            SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate),
+                row_number() OVER (PARTITION BY l_orderkey ORDER BY
+                    CAST(l_shipdate AS DATE) DESC, l_partkey DESC, l_suppkey DESC,
+                    l_linenumber DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
+                    l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rank
+            FROM lineitem) WHERE rank = 1""",
+    "upsert_by_key": """SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderpriority
+        ELSE '9-NEW' END AS o_orderpriority) FROM orders""",
+    "upsert_touched_partitions": """SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN '9-NEW'
+        ELSE o_orderpriority END AS o_orderpriority) FROM orders""",
+    "incremental_since": """SELECT * FROM events
         WHERE ts > TIMESTAMP '2024-01-20 12:00:00'""",
     "incremental_watermark": """SELECT CAST(max(event_id) AS VARCHAR) AS high_water_mark
         FROM events""",
-    "incremental_ingest": "SELECT event_id, user_id, event_type FROM events",
+    "incremental_ingest": "SELECT * FROM events",
+    "incremental_by_partition": "SELECT * FROM events",
+    "incremental_late_rows": """SELECT * REPLACE (CASE WHEN event_id % 10 <> 0
+        THEN date_trunc('day', ts)::TIMESTAMP END AS ts) FROM events""",
     "slices_by_range": "\nUNION ALL\n".join(
         f"""SELECT CAST({i} AS INTEGER) AS slice, count(*) FILTER (WHERE {rule}) AS row_count
         FROM orders"""
@@ -373,32 +393,52 @@ ORACLES: dict[str, str] = {
     ),
     "slices_even": """SELECT CAST(o_orderkey % 7 AS INTEGER) AS slice, count(*) AS row_count
         FROM orders GROUP BY 1""",
-    "parquet_roundtrip": f"SELECT {_ORDERS} FROM orders",
-    "save_modes": f"SELECT {_ORDERS} FROM orders UNION ALL SELECT {_ORDERS} FROM orders",
-    "partitioned_overwrite": """SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority = '5-LOW'
-        THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders""",
+    "parquet_roundtrip": "SELECT * FROM orders",
+    "save_modes": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
+    "partitioned_overwrite": """SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW'
+        THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders""",
     "json_append": """SELECT count(*) AS row_count, '2024-01-30' AS run_date FROM orders
         UNION ALL SELECT count(*), '2024-01-31' FROM orders""",
-    "csv_landing": """SELECT c_custkey, c_name, c_mktsegment FROM customer
-        WHERE c_mktsegment <> 'BUILDING'""",
-    "csv_landing_corrupt": """SELECT 'x' || c_custkey || ',' || c_name || ',BUILDING'
+    "csv_landing": "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'",
+    "csv_landing_corrupt": """SELECT concat_ws(',', 'x' || c_custkey, c_name,
+        c_nationkey::VARCHAR, c_acctbal::VARCHAR, 'BUILDING')
         AS _corrupt_record, c_name FROM customer WHERE c_mktsegment = 'BUILDING'""",
-    "schema_evolution": """SELECT o_orderkey, o_custkey, o_orderstatus,
-        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""",
-    "stacked_versions": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END
-        AS o_custkey, o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END
-        AS o_orderpriority FROM orders""",
+    "schema_evolution": """SELECT * REPLACE (CASE WHEN o_orderstatus <> 'F'
+        THEN o_orderpriority END AS o_orderpriority) FROM orders""",
+    "stacked_versions": """SELECT * REPLACE (
+        CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey,
+        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority) FROM orders""",
     "ingest_report": """SELECT 'ingest' AS pipeline_name, 'raw' AS stage_name,
             'orders' AS table_name, 'SUCCESS' AS status, count(*) AS row_count FROM orders
         UNION ALL SELECT 'ingest', 'raw', 'customer', 'SUCCESS', count(*) FROM customer
         UNION ALL SELECT 'ingest', 'raw', 'absent', 'FAILED', NULL""",
-    "ingest_by_date": f"""SELECT {_ORDERS}, '20240130' AS "ETL_DATE" FROM orders
-        UNION ALL SELECT {_ORDERS}, '{RUN_DATE}' FROM orders""",
+    "ingest_by_date": f"""SELECT *, '20240130' AS "ETL_DATE" FROM orders
+        UNION ALL SELECT *, '{RUN_DATE}' FROM orders""",
+    "ingest_stamps": "SELECT count(*) AS row_count, count(*) AS stamped, 1::BIGINT AS stamps FROM orders",
+    "audit_stamps": "SELECT 5::BIGINT AS checks, 5::BIGINT AS stamped, 1::BIGINT AS stamps",
+    "map_text_dates": _links(
+        "orders", VALID_ORDERS, "TBAADM.GAM", "AR_X_ACT_CLS_BAL", ("AR|TBAADM.GAM", "o_orderkey"),
+        ("AU|TBAADM.GAM", "CAST(o_orderkey AS VARCHAR) || '.CLS_BAL'"),
+        "CASE WHEN o_orderpriority <> '2-HIGH' THEN CAST(o_orderdate AS DATE) END",
+    ),
+    "mapping_from_file": _link_sql("13"),
+    "checksum_xxhash_lanes": """SELECT l_returnflag, count(*) AS row_count, TRUE AS agrees
+        FROM lineitem GROUP BY 1""",
+    "totals_fine_scale": """
+        WITH s AS (SELECT o_orderstatus, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(20,6))) AS v
+            FROM orders GROUP BY 1)
+        SELECT o_orderstatus, n AS source_rows, n AS target_rows, v AS source_o_totalprice,
+            v + CASE WHEN o_orderstatus = 'P' THEN n * 0.0003::DECIMAL(7,6) ELSE 0 END
+                AS target_o_totalprice,
+            CASE WHEN o_orderstatus = 'P' THEN 'FAIL' ELSE 'PASS' END AS status FROM s""",
     "zone_chain_links": _link_sql(_ALL),
-    "zone_chain_audit": """SELECT * FROM (VALUES ('Row Count', 'PASS'), ('Duplicate Key', 'FAIL'),
-        ('Null Key', 'PASS'), ('Hash Checksum', 'PASS'), ('Schema Validation', 'PASS'),
-        ('Collapsed Key', 'PASS'), ('Expected Rows', 'PASS')) AS v("CHECK_NAME", "STATUS")""",
-    "zone_chain_copy": f"SELECT DISTINCT {_LINES} FROM lineitem",
+    "zone_chain_audit": _audit_sql(_link_sql(_ALL), extra=_AS_EXPECTED),
+    "zone_chain_audit_rejecting": _audit_sql(
+        _REJECTING, _GAPS, _AS_EXPECTED + """
+UNION ALL SELECT 'Expected Checksum', 'FAIL',
+    'Expected: rows:0|hash_sum:0, SOR: ' || hashed FROM target"""
+    ),
+    "zone_chain_copy": "SELECT DISTINCT * FROM lineitem",
     "zone_chain_clean": f"SELECT {_STAGED} FROM orders WHERE o_orderpriority <> '5-LOW'",
     "zone_chain_bills": f"""SELECT l_orderkey || '-' || l_linenumber AS "BILL_ID",
         CASE WHEN l_returnflag = 'N' THEN 'N' ELSE 'Y' END AS "DEL_FLG",
@@ -406,5 +446,8 @@ ORACLES: dict[str, str] = {
         '{RUN_DATE}' AS "ETL_DATE" FROM lineitem""",
 }
 ORACLES["zone_chain_quarantine"] = ORACLES["quarantine_bad"]
+ORACLES["quarantine_two_runs"] = f"""
+    SELECT *, '20240130' AS "RUN_DATE" FROM ({ORACLES["quarantine_bad"]}) WHERE order_status <> 'F  '
+    UNION ALL SELECT *, '{RUN_DATE}' FROM ({ORACLES["quarantine_bad"]})"""
 ORACLES["zone_chain_diff"] = ORACLES["row_diff"]
 ORACLES["upsert_table_twice"] = ORACLES["upsert_by_key"]

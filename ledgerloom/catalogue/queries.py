@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ledgerloom.catalogue.standins import (
     untidy_orders,
 )
 from ledgerloom.functions import surrogate_key, table_checksum, with_row_hash
-from ledgerloom.functions.checksums import portable_fingerprint
+from ledgerloom.functions.checksums import hash_sum_lanes, portable_fingerprint, signed_sum
 from ledgerloom.operators import checks, compare, mapping, merge, staging
 from ledgerloom.plans import jobs
 from ledgerloom.plans.links import ACCOUNT_TABLE, BILL_TABLE, LINK_TABLE, with_key_prefixes
@@ -36,7 +37,9 @@ QUERIES: dict[str, Query] = {}
 PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
 CUSTOMER_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+ORDER_COLUMNS = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+)
 
 RANGE_CUTS = (1_000, 5_000, 10_000)
 EVEN_SLICES = 7
@@ -206,6 +209,55 @@ def checksum_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_checksum(table(spark, sf_dir, "lineitem").filter("l_quantity < 0"), LINE_COLUMNS)
 
 
+@query
+def checksum_xxhash_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per group, the lane sums of the 64-bit hash against one wide decimal sum of it."""
+    hashed = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.xxhash64(*LINE_COLUMNS).alias("fingerprint")
+    )
+    half, full = (F.lit(str(1 << n)).cast("decimal(38,0)") for n in (63, 64))
+    wide = F.sum(F.col("fingerprint").cast("decimal(19,0)")).cast("decimal(38,0)")
+    sums = hashed.groupBy("l_returnflag").agg(
+        F.count("*").alias("row_count"), wide.alias("wide"), *hash_sum_lanes("fingerprint")
+    )
+    folded = (F.pmod(F.col("wide") + half, full) - half).cast("decimal(38,0)")
+    return sums.select("l_returnflag", "row_count", (signed_sum() == folded).alias("agrees"))
+
+
+@query
+def ingest_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingestion time per write, on every row."""
+    zones = _scratch_zones(spark, "stamps")
+    jobs.ingest_tables(
+        spark, [files.TableSource("orders", f"{sf_dir}/orders.parquet")], zones, RUN_DATE
+    )
+    stamp = "INGESTION_TIMESTAMP"
+    return spark.read.parquet(zones.table(RAW, "orders")).agg(
+        F.count("*").alias("row_count"), F.count(stamp).alias("stamped"),
+        F.countDistinct(stamp).alias("stamps"),
+    )
+
+
+@query
+def audit_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One time per audit, on every check."""
+    orders, links = table(spark, sf_dir, "orders"), map_blocks_subset(spark, sf_dir)
+    return checks.audit_links(links, orders, ORDER_AUDIT).agg(
+        F.count("*").alias("checks"), F.count("CHECK_TIMESTAMP").alias("stamped"),
+        F.countDistinct("CHECK_TIMESTAMP").alias("stamps"),
+    )
+
+
+@query
+def map_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Opening dates as text, some of which are no dates."""
+    day = F.when(F.col("o_orderpriority") == "2-HIGH", F.lit("soon")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", day)
+    return mapping.map_links(lambda name: orders, ORDER_LINKS, RUN_DATE, blocks="2")
+
+
 @query
 def row_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
@@ -218,18 +270,17 @@ def row_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def validity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return mapping.valid_rows(lines, ORDER_LINKS.sources[1]).select(*LINE_COLUMNS)
+    return mapping.valid_rows(table(spark, sf_dir, "lineitem"), ORDER_LINKS.sources[1])
 
 
 @query
 def in_list_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.expr(CREDIT_ORDERS)).select(*ORDER_COLUMNS)
+    return table(spark, sf_dir, "orders").filter(F.expr(CREDIT_ORDERS))
 
 
 @query
 def full_row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem")
     return staging.drop_duplicate_rows(lines.unionByName(lines))
 
 
@@ -370,8 +421,9 @@ def null_rate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def count_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return compare.count_comparison(lines, staging.drop_duplicate_rows(lines))
+    lines = table(spark, sf_dir, "lineitem")
+    doubled = lines.unionByName(lines)
+    return compare.count_comparison(doubled, staging.drop_duplicate_rows(doubled))
 
 
 @query
@@ -396,6 +448,19 @@ def totals_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.compare_totals(orders, target, ["o_orderstatus"], ["o_totalprice"])
 
 
+@query
+def totals_fine_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drift in the fourth decimal of one group."""
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_totalprice", F.col("o_totalprice").cast("decimal(20,6)")
+    )
+    drift = F.when(F.col("o_orderstatus") == "P", F.lit("0.0003")).otherwise(F.lit("0"))
+    target = orders.withColumn(
+        "o_totalprice", (F.col("o_totalprice") + drift.cast("decimal(20,6)")).cast("decimal(20,6)")
+    )
+    return compare.compare_totals(orders, target, ["o_orderstatus"], ["o_totalprice"])
+
+
 def _drifted_orders(orders: DataFrame) -> DataFrame:
     """Changed, missing and unexpected rows at once."""
     kept = orders.filter("NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')").withColumn(
@@ -410,19 +475,19 @@ def _drifted_orders(orders: DataFrame) -> DataFrame:
 
 @query
 def key_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     return compare.key_diff(orders, _drifted_orders(orders), ["o_orderkey"])
 
 
 @query
 def row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     return compare.row_diff(orders, _drifted_orders(orders), ["o_orderkey"])
 
 
 @query
 def row_diff_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    lines = table(spark, sf_dir, "lineitem")
     target = lines.filter("l_returnflag <> 'R' OR l_linenumber > 3")
     return compare.row_diff(lines, target, ["l_orderkey"], keep_matched=True)
 
@@ -433,7 +498,7 @@ def row_diff_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def enrich_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ETL_DATE that is already there is replaced."""
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    lines = table(spark, sf_dir, "lineitem")
     older = staging.with_etl_date(lines, "20230101")
     return staging.with_ingest_metadata(older, RUN_DATE).drop("INGESTION_TIMESTAMP")
 
@@ -455,7 +520,7 @@ def quarantine_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantine_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
     good, bad = staging.split_by_rule(events, "event_type <> 'error' AND value > 0")
     return good.withColumn("zone", F.lit("stg")).unionByName(
         bad.withColumn("zone", F.lit("quarantine"))
@@ -464,9 +529,8 @@ def quarantine_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.col("l_shipdate").cast("date").alias("l_shipdate"),
-        "l_linenumber", "l_partkey", "l_suppkey",
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "l_shipdate", F.col("l_shipdate").cast("date")
     )
     return merge.latest_per_key(lines, ["l_orderkey"], ["l_shipdate"])
 
@@ -481,7 +545,7 @@ def _order_updates(orders: DataFrame) -> DataFrame:
 
 @query
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     base = orders.filter("o_orderstatus <> 'P'")
     return merge.merge_rows(base, _order_updates(orders), ["o_orderkey"], ["o_orderpriority"])
 
@@ -489,7 +553,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged swap on a written table; the second upsert changes nothing."""
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     path = shared_scratch(spark, "upsert")
     sinks.write_table(orders.filter("o_orderstatus <> 'P'"), path)
     for _ in range(2):
@@ -501,7 +565,7 @@ def upsert_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     path, keys = shared_scratch(spark, "upsert-partitions"), ["o_orderkey", "o_orderstatus"]
     sinks.write_table(orders, path, partition_by=["o_orderstatus"], rebalance=True)
     updates = orders.filter("o_orderstatus = 'P'").withColumn("o_orderpriority", F.lit("9-NEW"))
@@ -512,9 +576,7 @@ def upsert_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return merge.rows_after(events, "ts", "2024-01-20 12:00:00").select(
-        "event_id", "user_id", "event_type"
-    )
+    return merge.rows_after(events, "ts", "2024-01-20 12:00:00")
 
 
 @query
@@ -525,12 +587,50 @@ def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load up to a date, then two increments from the table's own watermark."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    zones = _scratch_zones(spark, "increments")
-    for upto in ("2024-01-10", "2024-01-20", "2024-02-01"):
-        known = events.filter(F.col("ts") < F.lit(upto).cast("timestamp_ntz"))
+    events, zones = table(spark, sf_dir, "events"), _scratch_zones(spark, "increments")
+    for known in _known_events(events):
+        jobs.ingest_increment(spark, known, zones, "events", ["event_id"], "ts")
+    return spark.read.parquet(zones.table(STAGING, "events"))
+
+
+def _known_events(events: DataFrame) -> list[DataFrame]:
+    """What a source held at three times; at the last one everything."""
+    first = [
+        events.filter(F.col("ts") < F.lit(upto).cast("timestamp_ntz"))
+        for upto in ("2024-01-10", "2024-01-20")
+    ]
+    return [*first, events]
+
+
+@query
+def incremental_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same increments into a table in partitions, which it keeps."""
+    events, zones = table(spark, sf_dir, "events"), _scratch_zones(spark, "increments")
+    for known in _known_events(events):
+        jobs.ingest_increment(
+            spark, known, zones, "events", ["event_id", "event_type"], "ts",
+            partition_by=["event_type"],
+        )
+    path = zones.table(STAGING, "events")
+    if sinks.partition_columns(spark, path) != ["event_type"]:
+        raise ValueError(f"{path} lost its partitions")
+    return spark.read.parquet(path)
+
+
+@query
+def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive late with the watermark's own stamp, or with none."""
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+    events = table(spark, sf_dir, "events").withColumn(
+        "ts", F.when(F.col("event_id") % 10 != 0, day)
+    )
+    last = F.lit("2024-01-15").cast("timestamp_ntz")
+    early = F.col("event_id") % 4 < 2
+    first = events.filter((F.col("ts") < last) | (early & ((F.col("ts") == last) | F.col("ts").isNull())))
+    zones = _scratch_zones(spark, "late")
+    for known in (first, events, events):
         jobs.ingest_increment(spark, known, zones, "events", ["event_id"], "ts")
-    return spark.read.parquet(zones.table(STAGING, "events")).drop("ts")
+    return spark.read.parquet(zones.table(STAGING, "events"))
 
 
 # --- sources and sinks ---------------------------------------------------------
@@ -561,14 +661,14 @@ def _slice_counts(spark: SparkSession, sf_dir: str, predicates: list[str]) -> Da
 @query
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_scratch(spark, "roundtrip")
-    sinks.write_table(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS), path)
+    sinks.write_table(table(spark, sf_dir, "orders"), path)
     return files.read_parquet(spark, path)
 
 
 @query
 def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite, append, then an ignored write: every order twice."""
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     path = shared_scratch(spark, "modes")
     for mode in ("overwrite", "append", "ignore"):
         sinks.write_table(orders, path, mode)
@@ -578,7 +678,7 @@ def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def partitioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One partition replaced, the others kept."""
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     path, by = shared_scratch(spark, "partitions"), ["o_orderpriority"]
     sinks.write_table(orders, path, partition_by=by, rebalance=True)
     low = orders.filter("o_orderpriority = '5-LOW'").withColumn("o_orderstatus", F.lit("X"))
@@ -604,12 +704,14 @@ def _landed_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     ).otherwise(F.col("c_custkey").cast("string"))
     zones = _scratch_zones(spark, "landing")
     path = zones.table("source", "customer")
-    landed = customer.select(key.alias("c_custkey"), "c_name", "c_mktsegment")
+    landed = customer.withColumn("c_custkey", key)
     landed.write.option("header", "true").csv(path)
     schema = T.StructType(
         [
             T.StructField("c_custkey", T.LongType()),
             T.StructField("c_name", T.StringType()),
+            T.StructField("c_nationkey", T.IntegerType()),
+            T.StructField("c_acctbal", T.DoubleType()),
             T.StructField("c_mktsegment", T.StringType()),
         ]
     )
@@ -618,7 +720,8 @@ def _landed_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 @query
 def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed_customers(spark, sf_dir)[0].select("c_custkey", "c_name", "c_mktsegment")
+    good = _landed_customers(spark, sf_dir)[0]
+    return good.drop("ETL_DATE", "INGESTION_TIMESTAMP")
 
 
 @query
@@ -629,7 +732,7 @@ def csv_landing_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with and without a column in one table, read with merged schemas."""
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     path = shared_scratch(spark, "evolution")
     sinks.write_table(orders.filter("o_orderstatus = 'F'").drop("o_orderpriority"), path)
     sinks.write_table(orders.filter("o_orderstatus <> 'F'"), path, "append")
@@ -638,7 +741,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stacked_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     older = orders.filter("o_orderstatus = 'F'").drop("o_orderpriority")
     newer = orders.filter("o_orderstatus <> 'F'").drop("o_custkey")
     return staging.stack_versions([older, newer])
@@ -654,7 +757,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = [
         files.TableSource("orders", f"{sf_dir}/orders.parquet"),
         files.TableSource("absent", f"{sf_dir}/absent.parquet"),
-        files.TableSource("customer", f"{sf_dir}/customer.parquet", columns=CUSTOMER_COLUMNS),
+        files.TableSource("customer", f"{sf_dir}/customer.parquet"),
     ]
     results = jobs.ingest_tables(
         spark, sources, zones, RUN_DATE, workers=2, raise_on_failure=False
@@ -668,18 +771,21 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two run dates side by side, the second run twice: one copy per date."""
     zones = _scratch_zones(spark, "ingest-dates")
-    source = files.TableSource("orders", f"{sf_dir}/orders.parquet", columns=ORDER_COLUMNS)
+    source = files.TableSource("orders", f"{sf_dir}/orders.parquet")
     for run_date in ("20240130", RUN_DATE, RUN_DATE):
         jobs.ingest_tables(spark, [source], zones, run_date, by_date=True)
     raw = spark.read.parquet(zones.table(RAW, "orders")).drop("INGESTION_TIMESTAMP")
     return raw.withColumn("ETL_DATE", F.col("ETL_DATE").cast("string"))
 
 
-def _banking_zones(spark: SparkSession, sf_dir: str, purpose: str) -> Zones:
+def _banking_zones(
+    spark: SparkSession, sf_dir: str, purpose: str, orders: DataFrame | None = None
+) -> Zones:
     """Account and bill tables ingested into a raw zone."""
     zones = _scratch_zones(spark, purpose)
     sources = []
-    for name, rows in ((ACCOUNT_TABLE, accounts(spark, sf_dir)), (BILL_TABLE, bills(spark, sf_dir))):
+    held = accounts(table(spark, sf_dir, "orders") if orders is None else orders)
+    for name, rows in ((ACCOUNT_TABLE, held), (BILL_TABLE, bills(spark, sf_dir))):
         location = zones.table("source", name)
         sinks.write_table(rows, location)
         sources.append(files.TableSource(name, location))
@@ -699,15 +805,42 @@ def zone_chain_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _banking_zones(spark, sf_dir, "chain-audit")
     jobs.build_links(spark, zones, RUN_DATE)
-    report = jobs.audit_link_table(spark, zones, thorough=True)
-    return report.select("CHECK_NAME", "STATUS")
+    report = jobs.audit_link_table(spark, zones, thorough=True, checksum_method="sha256")
+    return report.select("CHECK_NAME", "STATUS", "DETAILS")
+
+
+@query
+def zone_chain_audit_rejecting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with null key parts left out, and none of them expected."""
+    gaps = orders_with_gaps(spark, sf_dir)
+    zones = _banking_zones(spark, sf_dir, "chain-reject", gaps)
+    jobs.build_links(spark, zones, RUN_DATE, null_keys="reject")
+    report = jobs.audit_link_table(
+        spark, zones, thorough=True, null_keys="reject", checksum_method="sha256",
+        expected_checksum="rows:0|hash_sum:0",
+    )
+    return report.select("CHECK_NAME", "STATUS", "DETAILS")
+
+
+@query
+def mapping_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping file with block ids of its own, in upper case."""
+    path = shared_scratch(spark, "mapping")
+    sources = [
+        replace(s, blocks=tuple(replace(b, block_id=f"B{b.block_id}") for b in s.blocks))
+        for s in ORDER_LINKS.sources
+    ]
+    text = replace(ORDER_LINKS, sources=tuple(sources)).to_json()
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    spec = mapping.LinkSpec.from_json(files.read_whole_text(spark, path))
+    return mapping.map_links(raw_tables(spark, sf_dir), spec, RUN_DATE, blocks="B1, B3")
 
 
 @query
 def zone_chain_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw with every row doubled, deduplicated into staging, copied to the system of record."""
     zones = _scratch_zones(spark, "copy")
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    lines = table(spark, sf_dir, "lineitem")
     sinks.write_table(lines.unionByName(lines), zones.table(RAW, "lineitem"))
     jobs.stage_table(spark, zones, "lineitem")
     jobs.publish_table(spark, zones, "lineitem")
@@ -730,14 +863,31 @@ def zone_chain_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _scratch_zones(spark, "quarantine")
     sinks.write_table(untidy_orders(spark, sf_dir), zones.table(RAW, "orders"))
     jobs.stage_table(spark, zones, "orders", STAGING_RULES)
-    return spark.read.parquet(zones.table(QUARANTINE, "orders"))
+    return spark.read.parquet(zones.table(QUARANTINE, "orders")).drop(jobs.QUARANTINE_RUN)
+
+
+@query
+def quarantine_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of two run dates, the second run twice: both stay, each once."""
+    zones = _scratch_zones(spark, "quarantine-runs")
+    untidy = untidy_orders(spark, sf_dir)
+    for run_date, rows in (("20240130", untidy.filter("order_status <> 'F  '")), (RUN_DATE, untidy)):
+        source = zones.table("source", f"orders-{run_date}")
+        sinks.write_table(rows, source)
+        given = [files.TableSource("orders", source)]
+        jobs.ingest_tables(spark, given, zones, run_date, by_date=True)
+    for run_date in ("20240130", RUN_DATE, RUN_DATE):
+        jobs.stage_table(spark, zones, "orders", STAGING_RULES, run_date=run_date)
+    held = spark.read.parquet(zones.table(QUARANTINE, "orders"))
+    run = F.col(jobs.QUARANTINE_RUN).cast("string").alias(jobs.QUARANTINE_RUN)
+    return held.select("order_id", "order_day", "amount", "order_status", "REJECT_REASON", run)
 
 
 @query
 def zone_chain_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging against a system of record that drifted away from it."""
     zones = _scratch_zones(spark, "diff")
-    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    orders = table(spark, sf_dir, "orders")
     sinks.write_table(orders, zones.table(STAGING, "orders"))
     sinks.write_table(_drifted_orders(orders), zones.table(SOR, "orders"))
     jobs.reconcile_table(spark, zones, "orders", ["o_orderkey"], ORDER_COLUMNS[1:])

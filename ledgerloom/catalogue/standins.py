@@ -72,9 +72,9 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     return lambda name: table(spark, sf_dir, names[name])
 
 
-def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accounts(orders: DataFrame) -> DataFrame:
     """Orders in the column layout of the account table."""
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("ACID"),
         F.when(F.col("o_orderstatus") != "P", "Y").otherwise("N").alias("ENTITY_CRE_FLG"),
         F.when(F.col("o_orderpriority") == "5-LOW", "Y").otherwise("N").alias("DEL_FLG"),

@@ -115,6 +115,15 @@ def missing_columns(df: DataFrame, contract: T.StructType) -> list[str]:
     return sorted(set(contract.names) - set(df.columns))
 
 
+def wrong_types(df: DataFrame, contract: T.StructType) -> list[str]:
+    """Columns of another type than the contract's, as ``name is type, not type``."""
+    return [
+        f"{f.name} is {df.schema[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}"
+        for f in contract.fields
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    ]
+
+
 def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     """One row per column: OK, MISSING, TYPE_MISMATCH or EXTRA, with offending rows.
 
@@ -237,15 +246,10 @@ def _target_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFram
     return groups.agg(*measures, *(merge_lanes() if summed else []))
 
 
-# Up to this many 8-byte key hashes are broadcast; it bounds memory, not the result.
-MAX_BROADCAST_SUSPECTS = 1_000_000
-
-
-def duplicate_key_count(target: DataFrame, keys: Sequence[str], suspects: DataFrame,
-                        suspect_count: int) -> DataFrame:
+def duplicate_key_count(
+    target: DataFrame, keys: Sequence[str], suspects: DataFrame
+) -> DataFrame:
     """Exact number of repeated keys among rows whose key hash is a suspect."""
-    if suspect_count <= MAX_BROADCAST_SUSPECTS:
-        suspects = F.broadcast(suspects)
     hashed = target.select(*keys, F.xxhash64(*keys).alias("key_hash"))
     return (
         hashed.join(suspects, "key_hash", "left_semi")
@@ -299,7 +303,7 @@ def _prescreened_metrics(target: DataFrame, spec: AuditSpec, method: str) -> Dat
         .filter(F.col("n") > 1)
         .select("key_hash")
     )
-    exact = duplicate_key_count(target, spec.keys, suspects, found["suspects"])
+    exact = duplicate_key_count(target, spec.keys, suspects)
     return measured.withColumn("duplicate_keys", exact.scalar())
 
 
@@ -328,6 +332,10 @@ def audit_links(
     job while the report is being built.
     """
     missing = missing_columns(target, spec.contract)
+    unlike = [f"Missing Columns: {missing}"] if missing else []
+    types = wrong_types(target, spec.contract)
+    if types:
+        unlike.append(f"Wrong Types: {types}")
     keyed, summed = _has(target, spec.keys), _has(target, spec.checksum_columns)
     skipped = f"Skipped, missing columns: {missing}"
 
@@ -373,8 +381,8 @@ def audit_links(
     checks.append(
         _check(
             "Schema Validation",
-            FAIL if missing else PASS,
-            f"Missing Columns: {missing}" if missing else "Schema matches 100%",
+            FAIL if unlike else PASS,
+            "; ".join(unlike) or "Schema matches 100%",
         )
     )
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import row_hash
 from ledgerloom.operators.checks import FAIL, PASS
@@ -51,23 +52,49 @@ def count_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("row_count"))
 
 
-def money(name: str, precision: int = 18, scale: int = 2) -> Column:
-    """The column as a decimal, so that its sum is exact and independent of row order."""
+def exact_amount(df: DataFrame, name: str, precision: int = 18, scale: int = 2) -> Column:
+    """The column as a number whose sum is exact and independent of row order.
+
+    Decimals and whole numbers stay as they are; a float or text becomes a decimal of
+    the given precision and scale, and a value beyond that raises.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DecimalType, T.IntegralType)):
+        return F.col(name)
     return F.col(name).cast(f"decimal({precision},{scale})")
 
 
-def sum_by(df: DataFrame, columns: Sequence[str], amounts: Sequence[str]) -> DataFrame:
-    """Row count and exact sums of monetary columns per value of the columns."""
+def sum_by(
+    df: DataFrame,
+    columns: Sequence[str],
+    amounts: Sequence[str],
+    precision: int = 18,
+    scale: int = 2,
+) -> DataFrame:
+    """Row count and exact sums of amounts per value of the columns."""
     return df.groupBy(*columns).agg(
-        F.count("*").alias("row_count"), *[F.sum(money(a)).alias(f"sum_{a}") for a in amounts]
+        F.count("*").alias("row_count"),
+        *[F.sum(exact_amount(df, a, precision, scale)).alias(f"sum_{a}") for a in amounts],
     )
 
 
 def compare_totals(
-    source: DataFrame, target: DataFrame, columns: Sequence[str], amounts: Sequence[str]
+    source: DataFrame,
+    target: DataFrame,
+    columns: Sequence[str],
+    amounts: Sequence[str],
+    precision: int = 18,
+    scale: int = 2,
 ) -> DataFrame:
-    """Counts and monetary sums of both sides per group, with PASS or FAIL."""
-    tagged = _both_sides(source, target, [*columns, *[money(a).alias(a) for a in amounts]])
+    """Counts and exact sums of both sides per group, with PASS or FAIL.
+
+    Decimals are compared to their last digit; see :func:`exact_amount` for the rest.
+    """
+    def exact(side: DataFrame) -> DataFrame:
+        kept = [exact_amount(side, a, precision, scale).alias(a) for a in amounts]
+        return side.select(*columns, *kept)
+
+    tagged = _both_sides(exact(source), exact(target), [*columns, *amounts])
     sides = (("source", F.col("in_source") == 1), ("target", F.col("in_target") == 1))
     measures = [
         F.sum("in_source").alias("source_rows"),

@@ -157,10 +157,9 @@ def select_blocks(spec: LinkSpec, blocks: str | Iterable[str] = ALL_BLOCKS) -> s
     """Resolve ``"all"``, a comma list or an iterable of ids; unknown ids raise."""
     known = set(spec.block_ids())
     if isinstance(blocks, str):
-        text = blocks.strip().lower()
-        if text == ALL_BLOCKS:
+        if blocks.strip().lower() == ALL_BLOCKS:
             return known
-        blocks = text.split(",")
+        blocks = blocks.split(",")
     chosen = {str(b).strip() for b in blocks} - {""}
     unknown = sorted(chosen - known)
     if unknown:
@@ -198,6 +197,11 @@ def _require_stable_key_types(df: DataFrame, spec: LinkSpec, rule: KeyRule) -> N
         kind = df.schema[name].dataType
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             raise TypeError(f"{name} is {kind.simpleString()}: its text form is no stable key")
+        if isinstance(kind, T.TimestampType):
+            raise TypeError(
+                f"{name} is timestamp: its text changes with the session's time zone; "
+                "cast it to timestamp_ntz, date or string"
+            )
         if isinstance(kind, T.DecimalType) and kind.scale and not spec.allow_decimal_keys:
             raise TypeError(
                 f"{name} is {kind.simpleString()}: cast it to an integral type or string, "
@@ -367,12 +371,27 @@ def null_key_rows(
     return reduce(DataFrame.unionByName, branches)
 
 
+def _yields(source: LinkSource, block: Block, reject_null_keys: bool) -> Column:
+    """Whether a valid row of the source gives a link of the block."""
+    met = F.expr(block.where) if block.where else F.lit(True)
+    if reject_null_keys:
+        met = met & ~source.arrangement.has_null() & ~block.unit.has_null()
+    return met
+
+
 def expected_link_counts(
     tables: Callable[[str], DataFrame],
     spec: LinkSpec,
     blocks: str | Iterable[str] = ALL_BLOCKS,
+    null_keys: str = "collapse",
 ) -> DataFrame:
-    """Rows each block must yield, counted on the sources in one aggregate per table."""
+    """Rows each block must yield, counted on the sources in one aggregate per table.
+
+    ``null_keys`` is that of :func:`map_links`: with ``"reject"`` links with a null key
+    component are not expected.
+    """
+    if null_keys not in ("collapse", "reject"):
+        raise ValueError("null_keys is 'collapse' or 'reject'")
     chosen = select_blocks(spec, blocks)
     branches = []
     for source in spec.sources:
@@ -381,7 +400,7 @@ def expected_link_counts(
             continue
         counts = valid_rows(tables(source.table), source).agg(
             *[
-                F.count_if(F.expr(b.where) if b.where else F.lit(True)).alias(f"n_{b.block_id}")
+                F.count_if(_yields(source, b, null_keys == "reject")).alias(f"n_{b.block_id}")
                 for b in wanted
             ]
         )

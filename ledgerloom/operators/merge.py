@@ -79,18 +79,37 @@ def replace_keys(
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
-def rows_after(df: DataFrame, column: str, watermark: Watermark) -> DataFrame:
+def newest_of_both(
+    base: DataFrame, fresh: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """``fresh`` with each row that the base has newer, or later in its order, replaced by that."""
+    wanted = fresh.select(*[F.col(k).alias(f"update_{k}") for k in keys])
+    known = base.join(wanted, _same_key(base, wanted, keys), "left_semi")
+    both = fresh.unionByName(known, allowMissingColumns=True)
+    return latest_per_key(both, keys, order_by)
+
+
+def rows_after(
+    df: DataFrame,
+    column: str,
+    watermark: Watermark,
+    inclusive: bool = False,
+    nulls: bool = False,
+) -> DataFrame:
     """Rows past the watermark; the plain comparison is pushed down to Parquet and JDBC.
 
-    Without a watermark all rows are taken. Later on, rows that are null in the
-    column are never taken; :func:`unplaced_rows` counts them. Dates and times may
-    be given as text, read in the column's own type.
+    Without a watermark all rows are taken. ``inclusive`` takes rows at the watermark
+    again, among which some may have come late; ``nulls`` takes rows without a value,
+    which no watermark ever passes. A merge by key bears both. Dates and times may be
+    given as text, read in the column's own type.
     """
     if watermark is None:
         return df
     if isinstance(watermark, (date, datetime)):
         watermark = str(watermark)
-    return df.filter(F.col(column) > F.lit(watermark).cast(df.schema[column].dataType))
+    mark = F.lit(watermark).cast(df.schema[column].dataType)
+    wanted = F.col(column) >= mark if inclusive else F.col(column) > mark
+    return df.filter(wanted | F.col(column).isNull() if nulls else wanted)
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:
@@ -99,5 +118,5 @@ def high_water_mark(df: DataFrame, column: str) -> DataFrame:
 
 
 def unplaced_rows(df: DataFrame, column: str) -> DataFrame:
-    """How many rows incremental extraction cannot see because the column is null."""
+    """How many rows a plain watermark cannot see because the column is null."""
     return df.agg(F.count_if(F.col(column).isNull()).alias("unplaced_rows"))

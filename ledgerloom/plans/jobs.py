@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
@@ -17,7 +17,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.checks import audit_links, count_snapshot, raise_on_failures
+from ledgerloom.operators.checks import (
+    AuditSpec,
+    audit_links,
+    count_snapshot,
+    raise_on_failures,
+)
 from ledgerloom.operators.compare import row_diff
 from ledgerloom.operators.mapping import (
     ALL_BLOCKS,
@@ -31,8 +36,8 @@ from ledgerloom.operators.staging import (
     REJECT_REASON,
     ColumnRule,
     drop_duplicate_rows,
-    judged,
-    quarantined,
+    normalise,
+    reject_reason,
     with_etl_date,
     with_ingest_metadata,
 )
@@ -40,16 +45,32 @@ from ledgerloom.plans.links import (
     ACCOUNT_TABLE,
     BILL_TABLE,
     LINK_AUDIT,
-    LINK_TABLE,
     LINKS,
     with_key_prefixes,
 )
 from ledgerloom.sources.files import TableSource, read_csv, read_parquet, split_corrupt
-from ledgerloom.sources.sinks import WriteResult, path_exists, upsert_table, write_table
-from ledgerloom.sources.zones import QUARANTINE, RAW, RECONCILE, SOR, STAGING, Zones
+from ledgerloom.sources.sinks import (
+    WriteResult,
+    drop_partition,
+    path_exists,
+    upsert_partitions,
+    upsert_table,
+    write_table,
+)
+from ledgerloom.sources.zones import (
+    QUARANTINE,
+    RAW,
+    RECONCILE,
+    SOR,
+    STAGING,
+    Zones,
+    shared_scratch,
+)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
-MESSAGE_LENGTH = 1000
+
+# The partition of quarantined rows, and its value where no run date was given.
+QUARANTINE_RUN, NO_RUN_DATE = "RUN_DATE", "undated"
 
 # Columns of the run log (fixed values; the numeric id of a database table is
 # replaced by a run id, since appending files hands out no sequence).
@@ -92,7 +113,7 @@ class IngestFailed(RuntimeError):
         self.results = list(results)
         failed = [r for r in results if r.status == FAILED]
         parts = ", ".join(f"{r.table} ({r.message})" for r in failed)
-        super().__init__(f"Migration failed for {len(failed)} tables: {parts}")
+        super().__init__(f"{len(failed)} of {len(self.results)} tables were not ingested: {parts}")
 
 
 def _now() -> datetime:
@@ -183,7 +204,7 @@ def run_log(
     rows = [
         (
             run_id, pipeline, stage, r.table, r.status, r.rows,
-            r.started, r.ended, r.message[:MESSAGE_LENGTH] or None, created,
+            r.started, r.ended, r.message or None, created,
         )
         for r in results
     ]
@@ -217,17 +238,26 @@ def ingest_increment(
     keys: Sequence[str],
     changed_column: str,
     watermark: Watermark = None,
+    partition_by: Sequence[str] = (),
 ) -> WriteResult:
-    """Take rows past the watermark and merge them into the staging table by key.
-
-    Without a watermark, the largest value already in the staging table is used, so
-    a re-run takes nothing twice. Versions of one key resolve to the newest.
+    """Take rows from the watermark on and merge them into the staging table by key.
+
+    Without a watermark, the largest value already in the staging table is used; a
+    caller who keeps the last one spares that scan. Rows at the watermark, of which some
+    may arrive late, and rows without a value are taken every time; merging by key makes
+    that harmless. Versions of one key, in the table or new, resolve to the newest, and
+    one without a value loses. ``partition_by`` keeps the table in partitions, of which
+    only those with new rows are rewritten.
     """
     path = zones.table(STAGING, name)
     if watermark is None and path_exists(spark, path):
         watermark = high_water_mark(spark.read.parquet(path), changed_column).first()[0]
-    fresh = rows_after(source, changed_column, watermark)
-    return upsert_table(spark, path, fresh, keys, [changed_column])
+    fresh = rows_after(source, changed_column, watermark, inclusive=True, nulls=True)
+    if partition_by:
+        return upsert_partitions(
+            spark, path, fresh, keys, partition_by, [changed_column], keep_newer=True
+        )
+    return upsert_table(spark, path, fresh, keys, [changed_column], keep_newer=True)
 
 
 def stage_table(
@@ -241,11 +271,10 @@ def stage_table(
     """Raw to staging: clean by the rules, drop duplicate rows, quarantine bad ones.
 
     A run date takes only that run of a table kept by date. Without rules it only
-    drops duplicates and the second result is None. With rules
-    the first pass also counts the bad rows, and raw is read again only if there are
-    any; tasks that run again may count twice, so only zero or not is used. The
-    observation also keeps Spark from judging every row twice, once to filter and
-    once to project.
+    drops duplicates and the second result is None. With rules raw is read and judged
+    once: the judged rows are written beside the staging table, split by verdict, and
+    both results are made from there. Quarantine keeps every run: rows go into the
+    partition of their run date, which a repeated run replaces.
     """
     raw = read_parquet(spark, zones.table(RAW, name), merge_schema)
     if run_date is not None:
@@ -253,23 +282,44 @@ def stage_table(
     path = zones.table(STAGING, name)
     if not rules:
         return write_table(drop_duplicate_rows(raw), path), None
-    seen = Observation(f"rejects-{uuid.uuid4().hex}")
-    rated = judged(raw, rules).observe(seen, F.count_if(F.col(REJECT_REASON) != "").alias("bad"))
-    good = rated.filter(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
+    folder = shared_scratch(spark, f"judged-{name}")
+    rated = raw.select(
+        F.struct(*raw.columns).alias("raw"), reject_reason(rules).alias(REJECT_REASON)
+    ).withColumn("rejected", F.col(REJECT_REASON) != "")
+    write_table(rated, folder, partition_by=["rejected"])
+    kept = spark.read.schema(rated.schema).parquet(folder)
+    good = normalise(kept.filter("NOT rejected").select("raw.*"), rules)
     staged = write_table(drop_duplicate_rows(good), path)
-    bad = quarantined(raw if seen.get["bad"] else raw.limit(0), rules)
-    return staged, write_table(bad, zones.table(QUARANTINE, name))
+    bad = kept.filter("rejected").select("raw.*", REJECT_REASON)
+    run, held = run_date or NO_RUN_DATE, zones.table(QUARANTINE, name)
+    stamped = bad.withColumn(QUARANTINE_RUN, F.lit(run))
+    # A run without bad rows would leave those of its earlier attempt in place.
+    drop_partition(spark, held, QUARANTINE_RUN, run)
+    return staged, write_table(
+        stamped, held, partition_by=[QUARANTINE_RUN], replace_partitions=True
+    )
 
 
 def publish_table(
-    spark: SparkSession, zones: Zones, name: str, keys: Sequence[str] = (), order_by: Sequence[str] = ()
+    spark: SparkSession,
+    zones: Zones,
+    name: str,
+    keys: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> WriteResult:
-    """Staging to system of record: a full copy, or an upsert when keys are given."""
+    """Staging to system of record: a full copy, or an upsert when keys are given.
+
+    ``partition_by`` keeps the table in partitions; an upsert then rewrites only those
+    that staging has rows for.
+    """
     staged = spark.read.parquet(zones.table(STAGING, name))
     path = zones.table(SOR, name)
+    if keys and partition_by:
+        return upsert_partitions(spark, path, staged, keys, partition_by, order_by)
     if keys:
         return upsert_table(spark, path, staged, keys, order_by)
-    return write_table(staged, path)
+    return write_table(staged, path, partition_by=partition_by, rebalance=bool(partition_by))
 
 
 def build_links(
@@ -300,6 +350,11 @@ def stamp_bills(
     return write_table(with_etl_date(raw, run_date), zones.table(SOR, output))
 
 
+def audit_of(spec: LinkSpec, audit: AuditSpec = LINK_AUDIT) -> AuditSpec:
+    """The audit of a mapping's own table: its first source's rule, its key prefixes."""
+    return replace(with_key_prefixes(audit, spec), source_valid=spec.sources[0].valid)
+
+
 def audit_link_table(
     spark: SparkSession,
     zones: Zones,
@@ -307,27 +362,35 @@ def audit_link_table(
     thorough: bool = False,
     blocks: str | Iterable[str] = ALL_BLOCKS,
     raise_on_fail: bool = False,
-    prescreen: bool = True,
+    prescreen: bool = False,
     tables: Callable[[str], DataFrame] | None = None,
+    null_keys: str = "collapse",
+    checksum_method: str = "xxhash64",
+    expected_checksum: str | None = None,
 ) -> DataFrame:
-    """Audit the relationship table against raw and write the summary.
-
-    ``thorough`` adds the Expected Rows and Collapsed Key checks. Failed checks are
-    only reported unless ``raise_on_fail`` is set; the summary is written either way.
-    ``prescreen`` is explained at :func:`audit_links`; a table known to hold many
-    repeated keys is audited faster without it.
+    """Audit a mapping's table against raw and write the summary.
+
+    The table, the source counted against it and that source's rule come from the spec.
+    ``thorough`` adds the Expected Rows and Collapsed Key checks, expecting what
+    ``null_keys`` says the build did with null key parts. Failed checks are only
+    reported unless ``raise_on_fail`` is set; the summary is written either way.
+    ``prescreen`` is explained at :func:`audit_links`; it pays on large tables known to
+    hold hardly any repeated key.
     """
-    target = spark.read.parquet(zones.table(SOR, LINK_TABLE))
+    target = spark.read.parquet(zones.table(SOR, spec.name))
     read = tables or raw_tables(spark, zones)
-    source = read(ACCOUNT_TABLE)
-    audit, expected = LINK_AUDIT, None
+    source = read(spec.sources[0].table)
+    audit, expected = audit_of(spec), None
     if thorough:
         select_blocks(spec, blocks)
-        audit = with_key_prefixes(audit, spec)
-        counts = expected_link_counts(read, spec, blocks)
+        counts = expected_link_counts(read, spec, blocks, null_keys)
         expected = counts.agg(F.sum("EXPECTED_ROWS"))
-    path = zones.table(RECONCILE, LINK_TABLE)
-    report = audit_links(target, source, audit, expected_rows=expected, prescreen=prescreen)
+    else:
+        audit = replace(audit, key_prefixes={})
+    path = zones.table(RECONCILE, spec.name)
+    report = audit_links(
+        target, source, audit, checksum_method, expected, expected_checksum, prescreen=prescreen
+    )
     write_table(report, path)
     report = spark.read.parquet(path)
     if raise_on_fail:

@@ -24,6 +24,11 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
+def read_whole_text(spark: SparkSession, path: str) -> str:
+    """One small text file, such as a mapping file, from any store Spark reaches."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

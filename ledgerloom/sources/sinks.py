@@ -18,7 +18,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.merge import in_base_order, latest_per_key, replace_keys
+from ledgerloom.operators.merge import (
+    in_base_order,
+    latest_per_key,
+    newest_of_both,
+    replace_keys,
+)
 
 SAVE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
@@ -89,7 +94,8 @@ def replace_table(
     before the swap leaves the table as it was; :func:`recover_table` repairs one
     that stopped inside it. Renames are quick on HDFS but copy data on most object
     stores, where the swap is not atomic either; a partitioned table with
-    :func:`upsert_partitions` suits those better.
+    :func:`upsert_partitions` suits those better. A table has one writer at a time: a
+    second one would take a swap in progress for one cut short.
     """
     spark = df.sparkSession
     base = path.rstrip("/")
@@ -111,6 +117,12 @@ def replace_table(
     return WriteResult(base, result.rows)
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> bool:
+    """Remove one partition of a table written with ``partition_by=[column]``."""
+    fs, target = _file_system(spark, f"{path.rstrip('/')}/{column}={value}")
+    return fs.delete(target, True)
+
+
 def recover_table(spark: SparkSession, path: str) -> bool:
     """Finish or undo a swap that was cut short; True if anything was repaired."""
     base = path.rstrip("/")
@@ -125,12 +137,6 @@ def recover_table(spark: SparkSession, path: str) -> bool:
     return True
 
 
-# Keys of an upsert are broadcast up to this size, measured while they are written;
-# beyond it the join sorts both sides instead.
-MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-KEY_ROW_OVERHEAD = 64
-
-
 @contextmanager
 def _written_updates(
     spark: SparkSession,
@@ -138,56 +144,70 @@ def _written_updates(
     updates: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-) -> Iterator[tuple[DataFrame, bool]]:
-    """The newest row per key as a table beside ``path``, and whether its keys are small.
+) -> Iterator[DataFrame]:
+    """The newest row per key as a table beside ``path``.
 
     An upsert uses its updates more than once. Writing them down means the source is
     read once, all uses see the same rows, and a lost executor never goes back to it.
+    Their size on disk is then known to Spark, which picks the join by its own settings.
     """
     folder = f"{path.rstrip('/')}__updates_{uuid.uuid4().hex}"
-    size = Observation(f"updates-{uuid.uuid4().hex}")
-    key_bytes = sum(
-        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0)
-    )
     fresh = latest_per_key(updates, keys, order_by)
-    measured = fresh.observe(
-        size,
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(key_bytes.cast("bigint")), F.lit(0)).alias("bytes"),
-    )
     fs, target = _file_system(spark, folder)
     try:
-        measured.write.parquet(folder)
-        total = size.get["bytes"] + size.get["rows"] * KEY_ROW_OVERHEAD
-        written = spark.read.schema(fresh.schema).parquet(folder)
-        yield written, total <= MAX_BROADCAST_KEY_BYTES
+        fresh.write.parquet(folder)
+        yield spark.read.schema(fresh.schema).parquet(folder)
     finally:
         fs.delete(target, True)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a written table's folders are named by, outermost first."""
+    fs, folder = _file_system(spark, path)
+    names: list[str] = []
+    while True:
+        inner = [
+            s.getPath() for s in fs.listStatus(folder)
+            if s.isDirectory() and "=" in s.getPath().getName()
+        ]
+        if not inner:
+            return names
+        folder = inner[0]
+        names.append(folder.getName().partition("=")[0])
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
     updates: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
+    keep_newer: bool = False,
 ) -> WriteResult:
     """Merge updates into a table and swap the result in; creates a missing table.
 
-    Columns the table does not have yet are added.
+    Columns the table does not have yet are added. The whole table is written again,
+    so this is for small ones; a table in partitions is refused, since it would lose
+    them: :func:`upsert_partitions` is for those. ``keep_newer`` lets a row of the table
+    stand against an update that is older in ``order_by``.
     """
     recover_table(spark, path)
     if not path_exists(spark, path):
         return replace_table(latest_per_key(updates, keys, order_by), path)
+    layout = partition_columns(spark, path)
+    if layout:
+        raise ValueError(f"{path} is partitioned by {layout}; use upsert_partitions")
     base = spark.read.parquet(path)
     ordered = in_base_order(base, updates)
-    with _written_updates(spark, path, ordered, keys, order_by) as (fresh, small):
-        return replace_table(replace_keys(base, fresh, keys, broadcast=small), path)
+    with _written_updates(spark, path, ordered, keys, order_by) as fresh:
+        if keep_newer:
+            fresh = newest_of_both(base, fresh, keys, order_by)
+        return replace_table(replace_keys(base, fresh, keys), path)
 
 
-# Partition lists up to this length become a pruning filter; it bounds what the
-# driver holds, not what is merged.
-MAX_LISTED_PARTITIONS = 10_000
+# Partitions rewritten by one job; it bounds the length of a pruning filter. All
+# touched partitions are worked through, in as many jobs as that takes.
+PARTITIONS_PER_JOB = 1_000
 
 
 def upsert_partitions(
@@ -197,29 +217,45 @@ def upsert_partitions(
     keys: Sequence[str],
     partition_by: Sequence[str],
     order_by: Sequence[str] = (),
+    keep_newer: bool = False,
 ) -> WriteResult:
     """Merge updates into a partitioned table, rewriting only the partitions they touch.
 
     The partition columns must be part of the key, otherwise a key could move
     between partitions and leave its old row behind. Spark stages dynamic partition
     overwrites and commits them after all tasks are done, so the partitions being
-    rewritten can still be read meanwhile.
+    rewritten can still be read meanwhile. Rows are rebalanced by partition before they
+    are written, so a partition gets as many files as its size asks for, not one from
+    every task. ``keep_newer`` lets a row of the table stand against an update that is
+    older in ``order_by``.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError(f"partition columns {list(partition_by)} must be part of the key")
     if not path_exists(spark, path):
         first = updates.select(*[_as_stored(f, partition_by) for f in updates.schema.fields])
-        return write_table(latest_per_key(first, keys, order_by), path, "overwrite", partition_by)
+        newest = latest_per_key(first, keys, order_by)
+        return write_table(newest, path, "overwrite", partition_by, rebalance=True)
 
     base = spark.read.parquet(path)
     added = sorted(set(updates.columns) - set(base.columns))
     if added:
         raise ValueError(f"columns {added} are not in {path}; untouched partitions would lack them")
     cast = updates.select(*[_as_stored(f, partition_by) for f in base.schema.fields])
-    with _written_updates(spark, path, cast, keys, order_by) as (fresh, small):
-        affected = _rows_of_touched_partitions(base, fresh, partition_by)
-        merged = replace_keys(affected, fresh, keys, broadcast=small)
-        return write_table(merged, path, "overwrite", partition_by, replace_partitions=True)
+    rows = 0
+    with _written_updates(spark, path, cast, keys, order_by) as fresh:
+        # The driver lists a table's partitions to read it; these are no more than that.
+        touched = [tuple(r) for r in fresh.select(*partition_by).distinct().collect()]
+        for first in range(0, len(touched), PARTITIONS_PER_JOB):
+            some = touched[first:first + PARTITIONS_PER_JOB]
+            old = rows_of_partitions(base, partition_by, some)
+            new = rows_of_partitions(fresh, partition_by, some)
+            if keep_newer:
+                new = newest_of_both(old, new, keys, order_by)
+            rows += write_table(
+                replace_keys(old, new, keys), path, "overwrite", partition_by,
+                replace_partitions=True, rebalance=True,
+            ).rows
+    return WriteResult(path, rows)
 
 
 def _as_stored(field: T.StructField, partition_by: Sequence[str]) -> Column:
@@ -230,20 +266,18 @@ def _as_stored(field: T.StructField, partition_by: Sequence[str]) -> Column:
     return value.alias(field.name)
 
 
-def _rows_of_touched_partitions(
-    base: DataFrame, fresh: DataFrame, partition_by: Sequence[str]
+def rows_of_partitions(
+    df: DataFrame, partition_by: Sequence[str], listed: Sequence[tuple]
 ) -> DataFrame:
-    """All base rows in partitions the fresh rows fall in, null partitions included."""
-    touched = fresh.select(*[F.col(c).alias(f"touched_{c}") for c in partition_by]).distinct()
-    listed = touched.take(MAX_LISTED_PARTITIONS + 1)
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        for i, name in enumerate(partition_by):
-            base = base.filter(_one_of(name, {row[i] for row in listed}))
-        if len(partition_by) == 1:
-            return base
-        touched = F.broadcast(touched)
-    same = [base[c].eqNullSafe(touched[f"touched_{c}"]) for c in partition_by]
-    return base.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
+    """Rows in the listed partitions, null ones included; the filters prune the scan."""
+    for i, name in enumerate(partition_by):
+        df = df.filter(_one_of(name, {values[i] for values in listed}))
+    if len(partition_by) == 1:
+        return df
+    schema = T.StructType([T.StructField(f"listed_{c}", df.schema[c].dataType) for c in partition_by])
+    names = df.sparkSession.createDataFrame(list(listed), schema)
+    same = [df[c].eqNullSafe(names[f"listed_{c}"]) for c in partition_by]
+    return df.join(names, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def _one_of(name: str, values: set) -> Column:

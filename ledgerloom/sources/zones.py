@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,20 +29,17 @@ class Zones:
         return f"{self.zone(zone)}/{name}"
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="ledgerloom-")
-
-
 def shared_scratch(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables, in the checkpoint folder the session names.
+    """A new folder for an intermediate table, removed when the driver's JVM ends.
 
-    Only a local session without one gets a folder of the local disk; on a cluster
-    executors could not share that, so the setting is required there.
+    It lies in the folder that ``spark.checkpoint.dir`` names, or else in the session's
+    warehouse: both are shared by all executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{folder.toString()}/table"

@@ -1,9 +1,11 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.checks import ChecksFailed
 from ledgerloom.plans import jobs
-from ledgerloom.plans.links import ACCOUNT_TABLE, BILL_TABLE, LINK_TABLE
+from ledgerloom.plans.links import ACCOUNT_TABLE, BILL_TABLE, LINK_TABLE, LINKS
 from ledgerloom.sources import sinks
 from ledgerloom.sources.files import TableSource
 from ledgerloom.sources.zones import QUARANTINE, RAW, RECONCILE, SOR, STAGING, Zones
@@ -29,7 +31,7 @@ def sources(spark, zones):
 
 @pytest.mark.parametrize("workers", [1, 3])
 def test_one_bad_table_does_not_stop_the_others(spark, zones, sources, workers):
-    with pytest.raises(jobs.IngestFailed, match="failed for 1 tables: gone") as caught:
+    with pytest.raises(jobs.IngestFailed, match="1 of 3 tables were not ingested: gone") as caught:
         jobs.ingest_tables(spark, sources, zones, "20240131", workers=workers)
     results = caught.value.results
     assert [(r.table, r.status, r.rows) for r in results] == [
@@ -140,8 +142,84 @@ def test_clean_tables_are_staged_in_one_pass(spark, zones):
     sinks.write_table(spark.createDataFrame(DIRTY[:2], DIRTY_SCHEMA), zones.table(RAW, "t"))
     staged, rejected = jobs.stage_table(spark, zones, "t", RULES)
     assert (staged.rows, rejected.rows) == (2, 0)
-    empty = spark.read.parquet(zones.table(QUARANTINE, "t"))
-    assert empty.columns == ["id", "day", "amount", "note", "extra", "REJECT_REASON"]
+    assert not list(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(zones.table(QUARANTINE, "t")).collect())
+
+
+def test_raw_is_judged_once(spark, zones, monkeypatch):
+    real = jobs.read_parquet
+    sinks.write_table(spark.createDataFrame(DIRTY, DIRTY_SCHEMA), zones.table(RAW, "t"))
+    judged = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            judged.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(
+        jobs, "read_parquet",
+        lambda *a, **k: (lambda df: df.mapInPandas(count, df.schema))(real(*a, **k)),
+    )
+    staged, rejected = jobs.stage_table(spark, zones, "t", RULES)
+    assert judged.value == len(DIRTY) and staged.rows + rejected.rows == len(DIRTY)
+
+
+def test_quarantine_keeps_every_run(spark, zones):
+    path = zones.table(RAW, "t")
+    for run_date, rows in (("20240130", DIRTY), ("20240131", DIRTY), ("20240131", DIRTY[:2])):
+        raw = spark.createDataFrame(rows, DIRTY_SCHEMA).withColumn("ETL_DATE", F.lit(run_date))
+        sinks.write_table(raw, path, partition_by=["ETL_DATE"], replace_partitions=True)
+        jobs.stage_table(spark, zones, "t", RULES, run_date=run_date)
+    held = spark.read.parquet(zones.table(QUARANTINE, "t"))
+    assert {str(r[jobs.QUARANTINE_RUN]) for r in held.collect()} == {"20240130"}
+    assert held.count() == 2
+
+
+def test_run_log_messages_are_whole(spark):
+    now = jobs._now()
+    result = jobs.StepResult("t", jobs.FAILED, None, now, now, "m" * 5000)
+    assert jobs.run_log(spark, [result], "r", "p", "s").first().message == "m" * 5000
+
+
+def test_an_audit_reads_its_own_specs_table(spark, zones):
+    spec = replace(LINKS, name="OTHER", sources=LINKS.sources[:1])
+    banking(spark, zones, [gam_row(), gam_row("A2")], [("B1", "N", "Y")])
+    jobs.build_links(spark, zones, "20240131")
+    jobs.build_links(spark, zones, "20240131", spec=spec, blocks="7")
+    report = jobs.audit_link_table(spark, zones, spec)
+    assert report.filter("CHECK_NAME = 'Row Count'").first().DETAILS == (
+        "Raw GAM Valid Rows: 2, SOR Rows: 2"
+    )
+
+
+def test_a_rejecting_build_is_expected_to_reject(spark, zones):
+    banking(spark, zones, [gam_row(), gam_row(acid=None)], [])
+    jobs.build_links(spark, zones, "20240131", null_keys="reject")
+    kinds = {
+        how: {r.CHECK_NAME: r.STATUS for r in
+              jobs.audit_link_table(spark, zones, thorough=True, null_keys=how).collect()}
+        for how in ("reject", "collapse")
+    }
+    assert kinds["reject"]["Expected Rows"] == "PASS" and kinds["collapse"]["Expected Rows"] == "FAIL"
+
+
+def test_increments_keep_partitions_and_untouched_files(spark, zones):
+    rows = spark.range(40).select(
+        (F.col("id") % 4).cast("int").alias("p"), "id", F.col("id").alias("version")
+    )
+    load = lambda df: jobs.ingest_increment(
+        spark, df, zones, "t", ["id", "p"], "version", partition_by=["p"]
+    )
+    load(rows.filter("id < 38"))
+    path = zones.table(STAGING, "t")
+    before = {f for f in spark.read.parquet(path).inputFiles() if "/p=0/" in f}
+    load(rows)
+    spark.catalog.refreshByPath(path)
+    table = spark.read.parquet(path)
+    assert table.count() == 40 and before <= set(table.inputFiles())
+    assert sinks.partition_columns(spark, path) == ["p"] and len(table.inputFiles()) <= 4
+    staged = jobs.publish_table(spark, zones, "t", keys=["id", "p"], partition_by=["p"])
+    assert staged.rows == 40 and sinks.partition_columns(spark, zones.table(SOR, "t")) == ["p"]
 
 
 def test_reconcile_table(spark, zones):

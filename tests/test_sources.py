@@ -153,25 +153,22 @@ def test_zone_paths():
     assert Zones("s3a://").table("raw", "t") == "s3a://raw/t"
 
 
-def session_with(**settings_):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: settings_.get(k[6:], d)))
-
-
-def test_scratch_uses_the_shared_folder():
-    session = session_with(**{"checkpoint.dir": "hdfs:///shared/", "master": "yarn"})
-    first, second = shared_scratch(session, "x"), shared_scratch(session, "x")
-    assert first != second and first.startswith("hdfs:///shared/x-")
-
-
-def test_scratch_of_a_local_session_without_a_folder():
-    session = session_with(master="local[2]")
-    first, second = shared_scratch(session, "x"), shared_scratch(session, "y")
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] != ""
-
-
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_scratch(session_with(master="yarn"), "x")
+def test_scratch_uses_the_shared_folder(spark):
+    first, second = shared_scratch(spark, "x"), shared_scratch(spark, "x")
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert first != second and first.startswith(f"{root}/x-")
+    assert not sinks.path_exists(spark, first)
+
+
+def test_scratch_without_a_folder_is_in_the_warehouse(spark):
+    session = spark.newSession()
+    root = session.conf.get("spark.checkpoint.dir")
+    conf = SimpleNamespace(
+        get=lambda key, *default: None if key == "spark.checkpoint.dir" else session.conf.get(key, *default)
+    )
+    without = SimpleNamespace(conf=conf, _jvm=session._jvm, _jsc=session._jsc)
+    warehouse = session.conf.get("spark.sql.warehouse.dir")
+    assert root and shared_scratch(without, "x").startswith(f"{warehouse}/_scratch/x-")
 
 
 @pytest.fixture
