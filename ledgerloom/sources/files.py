@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.sources.jdbc import JdbcConnection, even_slices
+from ledgerloom.sources.jdbc import JdbcConnection, even_slices, value_slices
 from ledgerloom.sources.jdbc import read_query as read_jdbc_query
 from ledgerloom.sources.jdbc import read_table as read_jdbc_table
 
@@ -68,8 +69,11 @@ class TableSource:
     """One table to ingest, as data.
 
     ``format`` is ``jdbc`` or a Spark file format. For files ``location`` is the
-    path. For JDBC it is the table, or a query when ``is_query`` is set, and
-    ``slices`` with ``slice_on`` reads it in that many even slices.
+    path. For JDBC it is the table, or a query when ``is_query`` is set. A table is
+    sliced by one of: ``partition_column`` in evenly spaced ranges; ``slice_on`` with
+    ``cuts`` in the ranges between these; ``predicates``, such as row-id ranges; or
+    ``slice_on`` alone by its remainder, at the cost of a scan per slice. A table or
+    query that is small says ``one_task``.
     """
 
     name: str
@@ -81,7 +85,10 @@ class TableSource:
     partition_column: str | None = None
     num_partitions: int = 4
     slice_on: str | None = None
+    cuts: Sequence[int | date] = ()
+    predicates: Sequence[str] = ()
     is_query: bool = False
+    one_task: bool = False
     columns: Sequence[str] = ()
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -98,8 +105,13 @@ class TableSource:
         if self.connection is None:
             raise ValueError(f"{self.name}: a jdbc source needs a connection")
         if self.is_query:
-            return read_jdbc_query(spark, self.connection, self.location)
-        predicates = even_slices(self.slice_on, self.num_partitions) if self.slice_on else None
+            return read_jdbc_query(spark, self.connection, self.location, self.one_task)
+        predicates = list(self.predicates)
+        if self.slice_on and not predicates:
+            predicates = (
+                value_slices(self.slice_on, self.cuts) if self.cuts
+                else even_slices(self.slice_on, self.num_partitions)
+            )
         return read_jdbc_table(
             spark,
             self.connection,
@@ -107,4 +119,5 @@ class TableSource:
             self.partition_column,
             self.num_partitions,
             predicates,
+            self.one_task,
         )

@@ -1,13 +1,17 @@
 """Reading source databases over JDBC.
 
-A read without a partition column is one task on one connection. Range slices
-(``partition_column``) suit an evenly spread column; where a few values hold much
-of the table, ``even_slices`` cuts on a remainder of a unique column instead, which
-no hot value can unbalance.
+A read without slices is one task on one connection, whatever the table's size, and
+warns unless that is asked for. Slices should be ranges of an indexed column: evenly
+spaced ones (``partition_column``) for an evenly spread column, chosen cut points
+(``value_slices``) for another, or row-id ranges of the source given as predicates.
+``even_slices`` cuts on a remainder, which no hot value can unbalance, but no index
+serves it: each slice scans the source's whole table, so it is for a source where
+scans are cheap and ranges are not to be had.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -98,11 +102,12 @@ def read_table(
     partition_column: str | None = None,
     num_partitions: int = DEFAULT_PARTITIONS,
     predicates: Sequence[str] | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
     """A whole table; simple filters and the column list are pushed to the source.
 
-    ``predicates`` reads one slice per predicate (see :func:`even_slices`).
-    Otherwise ``partition_column`` (numeric, date or timestamp) reads
+    ``predicates`` reads one slice per predicate (see :func:`value_slices`); without
+    any slices, ``one_task`` says that the table is small enough for that. Otherwise ``partition_column`` (numeric, date or timestamp) reads
     ``num_partitions`` ranges; rows outside the bounds found, and nulls, are kept.
     """
     if predicates:
@@ -113,6 +118,8 @@ def read_table(
             connection.url, table, predicates=list(predicates), properties=properties
         )
 
+    if not partition_column and not one_task:
+        _warn_of_one_task(table)
     reader = spark.read.format("jdbc").options(**connection.reader_options())
     reader = reader.option("dbtable", table)
     if partition_column:
@@ -127,7 +134,23 @@ def read_table(
     return reader.load()
 
 
-def read_query(spark: SparkSession, connection: JdbcConnection, query: str) -> DataFrame:
-    """The result of a query run by the source."""
+def _warn_of_one_task(what: str) -> None:
+    warnings.warn(
+        f"{what} is read by one task over one connection; slice it by ranges of an indexed "
+        "column, or say one_task=True if it is small",
+        stacklevel=3,
+    )
+
+
+def read_query(
+    spark: SparkSession, connection: JdbcConnection, query: str, one_task: bool = False
+) -> DataFrame:
+    """The result of a query run by the source, always over one connection.
+
+    A large result is better read as a table: ``read_table`` takes a parenthesised
+    query with an alias, which slices apply to.
+    """
+    if not one_task:
+        _warn_of_one_task("a query")
     reader = spark.read.format("jdbc").options(**connection.reader_options())
     return reader.option("query", query).load()

@@ -133,3 +133,10 @@ def test_snapshot_columns(spark):
     assert checks.count_snapshot(spark.range(3), "2024-01-31").first().asDict() == {
         "row_count": 3, "run_date": "2024-01-31",
     }
+
+
+def test_types_are_part_of_the_schema_check(spark, source):
+    target = spark.createDataFrame([], LINK_AUDIT.contract).withColumn("PPN_DT", F.lit("soon"))
+    found = {r.CHECK_NAME: r for r in checks.audit_links(target, source, LINK_AUDIT).collect()}
+    schema = found["Schema Validation"]
+    assert schema.STATUS == "FAIL" and schema.DETAILS == "Wrong Types: ['PPN_DT is string, not date']"

@@ -75,3 +75,12 @@ def test_count_comparison(spark):
     assert tuple(row) == (5, 2, -3)
     empty = spark.range(0)
     assert tuple(compare.count_comparison(empty, empty).first()) == (0, 0, 0)
+
+
+def test_decimals_are_compared_to_their_last_digit(spark):
+    a = spark.sql("SELECT 'x' AS g, CAST('1.001' AS DECIMAL(20,6)) AS v")
+    b = spark.sql("SELECT 'x' AS g, CAST('1.004' AS DECIMAL(20,6)) AS v")
+    assert compare.compare_totals(a, b, ["g"], ["v"]).first().status == "FAIL"
+    assert compare.compare_totals(a, a, ["g"], ["v"]).first().status == "PASS"
+    wide = spark.sql("SELECT 'x' AS g, 1e17D AS v")
+    assert str(compare.sum_by(wide, ["g"], ["v"], 30, 4).first().sum_v) == "100000000000000000.0000"

@@ -3,7 +3,9 @@ from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerloom.operators import mapping
 from ledgerloom.operators.mapping import (
     KeyRule,
     LinkSpec,
@@ -182,3 +184,26 @@ def test_spec_refuses_prefixes_that_run_into_each_other():
 
 def test_spec_survives_a_mapping_file():
     assert LinkSpec.from_json(LINKS.to_json()) == LINKS
+
+
+def test_block_ids_keep_their_case():
+    spec = replace(
+        LINKS,
+        sources=tuple(
+            replace(s, blocks=tuple(replace(b, block_id=f"B{b.block_id}") for b in s.blocks))
+            for s in LINKS.sources
+        ),
+    )
+    assert mapping.select_blocks(spec, "B1, B7") == {"B1", "B7"}
+    assert mapping.select_blocks(spec, " ALL ") == set(spec.block_ids())
+    with pytest.raises(ValueError, match="b1"):
+        mapping.select_blocks(spec, "b1")
+
+
+def test_keys_that_follow_the_time_zone_are_refused(spark):
+    rows = spark.createDataFrame([gam_row()], GAM)
+    zoned = rows.withColumn("ACID", F.current_timestamp())
+    with pytest.raises(TypeError, match="time zone"):
+        mapping.map_links(lambda name: zoned, LINKS, "20240131", blocks="7")
+    plain = rows.withColumn("ACID", F.current_timestamp().cast("timestamp_ntz"))
+    assert mapping.map_links(lambda name: plain, LINKS, "20240131", blocks="7").count() == 1

@@ -1,4 +1,5 @@
 import uuid
+import warnings
 from datetime import date, datetime
 from decimal import Decimal
 from types import SimpleNamespace
@@ -59,7 +60,8 @@ class RecordingSession:
 
 def test_jdbc_table_options():
     spark = RecordingSession()
-    jdbc.read_table(spark, CONNECTION, "T1")
+    with pytest.warns(UserWarning, match="T1 is read by one task"):
+        jdbc.read_table(spark, CONNECTION, "T1")
     assert spark.loads == [{**BASE_OPTIONS, "dbtable": "T1"}]
 
 
@@ -82,7 +84,8 @@ def test_jdbc_partitioned_read_of_an_empty_table():
 
 def test_jdbc_query_and_slices():
     spark = RecordingSession()
-    jdbc.read_query(spark, CONNECTION, "SELECT 1 FROM T1")
+    with pytest.warns(UserWarning, match="one task"):
+        jdbc.read_query(spark, CONNECTION, "SELECT 1 FROM T1")
     jdbc.read_table(spark, CONNECTION, "T1", predicates=["a", "b"])
     assert spark.loads[0] == {**BASE_OPTIONS, "query": "SELECT 1 FROM T1"}
     assert spark.loads[1] == {**BASE_OPTIONS, "dbtable": "T1", "predicates": ["a", "b"]}
@@ -92,13 +95,22 @@ def test_jdbc_query_and_slices():
 
 def test_table_source_drives_jdbc():
     spark = RecordingSession()
-    files.TableSource("t", "T1", "jdbc", connection=CONNECTION).read(spark)
-    files.TableSource("t", "SELECT 1", "jdbc", connection=CONNECTION, is_query=True).read(spark)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        files.TableSource("t", "T1", "jdbc", connection=CONNECTION, one_task=True).read(spark)
+        files.TableSource(
+            "t", "SELECT 1", "jdbc", connection=CONNECTION, is_query=True, one_task=True
+        ).read(spark)
     files.TableSource("t", "T1", "jdbc", connection=CONNECTION, slice_on="ID",
                       num_partitions=3).read(spark)
     assert [set(load) - set(BASE_OPTIONS) for load in spark.loads] == [
         {"dbtable"}, {"query"}, {"dbtable", "predicates"},
     ]
+    files.TableSource("t", "T1", "jdbc", connection=CONNECTION, slice_on="ID", cuts=(5, 9)).read(spark)
+    files.TableSource("t", "T1", "jdbc", connection=CONNECTION, predicates=("a", "b")).read(spark)
+    assert [load["predicates"] for load in spark.loads[3:]] == [
+        ["ID < 5 OR ID IS NULL", "ID >= 5 AND ID < 9", "ID >= 9"], ["a", "b"],
+    ]
     with pytest.raises(ValueError, match="connection"):
         files.TableSource("t", "T1", "jdbc").read(spark)
 
