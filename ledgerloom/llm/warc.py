@@ -21,9 +21,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.llm.common import written
 from ledgerloom.sources.zones import shared_scratch
@@ -169,36 +168,39 @@ def warc_date(date: str) -> str:
 
 
 def warc_type(record: ArcRecord) -> str:
-    url = record.fields["URL"]
-    if url.startswith("filedesc://"):
+    """What a record is by its content: an HTTP message is a response, whatever its URL."""
+    if record.fields["URL"].startswith("filedesc://"):
         return "warcinfo"
-    return "response" if url.split(":")[0] in ("http", "https") and record.body[:5] == b"HTTP/" else "resource"
+    return "response" if record.body[:5] == b"HTTP/" else "resource"
 
 
-CONVERTED = T.StructType(
-    [
-        T.StructField("record", T.StringType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("page_id", T.LongType()),
-        T.StructField("payload_bytes", T.LongType()),
-        T.StructField("payload_digest", T.StringType()),
-        T.StructField("block_digest", T.StringType()),
-        T.StructField("date", T.StringType()),
-        T.StructField("uri", T.StringType()),
-        T.StructField("address", T.StringType()),
-        T.StructField("content_type", T.StringType()),
-        T.StructField("head", T.StringType()),
-        T.StructField("payload", T.StringType()),
-    ]
-)
+@dataclass(frozen=True)
+class WarcPart:
+    """What an ARC record is as a WARC record."""
 
+    record: str
+    kind: str
+    page_id: int | None
+    payload_bytes: int
+    payload_digest: str
+    date: str
+    uri: str
+    address: str
+    content_type: str
+    head: str
+    entity: bytes
 
-def convert(archive: str, data: bytes) -> Iterator[tuple]:
-    """WARC parts (``CONVERTED``) of every record of an ARC file.
+    def block_digest(self) -> str:
+        return payload_digest(self.head.encode() + self.entity)
+
+
+def convert(archive: str, data: bytes) -> Iterator[WarcPart]:
+    """WARC parts of every record of an ARC file.
 
     Identifiers are derived from the archive's name and the record's place in it, so
     converting again gives the same ones.
     """
+    name = archive.rpartition("/")[2]
     for record in read_arc(data):
         kind = warc_type(record)
         head, entity = _http_parts(record.body) if kind == "response" else (b"", record.body)
@@ -208,19 +210,18 @@ def convert(archive: str, data: bytes) -> Iterator[tuple]:
             "response": "application/http; msgtype=response",
             "warcinfo": "application/warc-fields",
         }.get(kind, record.fields["Content-type"])
-        yield (
-            str(uuid.uuid5(uuid.NAMESPACE_URL, f"{archive}#{record.offset}")),
+        yield WarcPart(
+            str(uuid.uuid5(uuid.NAMESPACE_URL, f"{name}#{record.offset}")),
             kind,
             None if page is None else int(page),
             len(entity),
             payload_digest(entity),
-            payload_digest(record.body),
             warc_date(record.fields["Archive-date"]),
             record.fields["URL"],
             record.fields["IP-address"],
             content,
             text,
-            entity.decode("utf-8"),
+            entity,
         )
 
 
@@ -228,26 +229,70 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def converted(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame:
-    """The named parts of every record of the ARC files in ``path``."""
-    fields = [CONVERTED[n] for n in names]
-    at = [CONVERTED.names.index(n) for n in names]
-    types = {"long": pa.int64(), "bigint": pa.int64(), "string": pa.string()}
-    schema = pa.schema([(f.name, types[f.dataType.simpleString()]) for f in fields])
+_DIGEST_DDL = (
+    "archive string, record string, page_id long, payload_bytes long, payload_digest string, "
+    "date string, uri string"
+)
+_DIGEST = pa.schema(
+    [
+        ("archive", pa.string()), ("record", pa.string()), ("page_id", pa.int64()),
+        ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("date", pa.string()),
+        ("uri", pa.string()),
+    ]
+)
+
+
+def response_digests(spark: SparkSession, path: str) -> DataFrame:
+    """What equal payloads are found by, for every response in the ARC files in ``path``."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                name = batch.column(0)[i].as_py().rpartition("/")[2]
-                rows = list(convert(name, gzip.decompress(batch.column(1)[i].as_py())))
-                for first in range(0, len(rows), 500):
-                    columns = list(zip(*rows[first:first + 500], strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[k], f.type) for k, f in zip(at, schema, strict=True)],
-                        schema=schema,
-                    )
+                archive = batch.column(0)[i].as_py()
+                rows = [
+                    (archive, r.record, r.page_id, r.payload_bytes, r.payload_digest, r.date, r.uri)
+                    for r in convert(archive, gzip.decompress(batch.column(1)[i].as_py()))
+                    if r.kind == "response"
+                ]
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_DIGEST)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, _DIGEST, strict=True)], schema=_DIGEST
+                )
+
+    return _archives(spark, path).mapInArrow(parse, _DIGEST_DDL)
 
-    return _archives(spark, path).mapInArrow(parse, T.StructType(fields))
+
+def _record_text(part: WarcPart, first: dict | None) -> str:
+    """A WARC record without its closing line feeds; a revisit of ``first`` has no payload."""
+    lines = [
+        "WARC/1.0",
+        f"WARC-Type: {part.kind if first is None else 'revisit'}",
+        f"WARC-Record-ID: <urn:uuid:{part.record}>",
+        f"WARC-Date: {part.date}",
+    ]
+    if part.kind == "warcinfo":
+        lines.append(f"WARC-Filename: {part.uri}")
+    else:
+        lines += [f"WARC-Target-URI: {part.uri}", f"WARC-IP-Address: {part.address}"]
+    block = part.head
+    if first is None:
+        block += part.entity.decode("utf-8")
+        lines.append(f"WARC-Block-Digest: sha1:{part.block_digest()}")
+    else:
+        lines += [
+            f"WARC-Profile: {REVISIT_PROFILE}",
+            f"WARC-Refers-To: <urn:uuid:{first['record']}>",
+            f"WARC-Refers-To-Target-URI: {first['uri']}",
+            f"WARC-Refers-To-Date: {first['date']}",
+        ]
+        if first["page_id"] is not None:
+            lines.append(f"{REFERS_HEADER}: {first['page_id']}")
+    lines += [
+        f"WARC-Payload-Digest: sha1:{part.payload_digest}",
+        f"Content-Type: {part.content_type}",
+        f"Content-Length: {len(block.encode())}",
+    ]
+    return "\r\n".join(lines) + "\r\n\r\n" + block
 
 
 def write_warc(spark: SparkSession, arc: str, path: str, shortest: int = SHORTEST_REVISIT) -> None:
@@ -255,62 +300,42 @@ def write_warc(spark: SparkSession, arc: str, path: str, shortest: int = SHORTES
 
     First digests alone are compared, the smallest page id of each payload being its
     response; ids that are null come last, and of equal ids the smallest record
-    identifier. Then the records are read again and written with what was decided.
+    identifier. What was decided is gathered by archive, at most an entry for each of
+    its records, and joins the archives as they are, still compressed; payloads are
+    not moved but for that.
     """
-    known = written(
-        converted(spark, arc, ("record", "kind", "page_id", "payload_bytes", "payload_digest", "date", "uri"))
-        .filter("kind = 'response'"),
-        "warc-digests",
-    )
+    known = written(response_digests(spark, arc), "warc-digests")
     order = F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", "record", "date", "uri")
     firsts = known.filter(F.col("payload_bytes") >= shortest).groupBy(
         F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")
     ).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
-    repeated = firsts.filter("copies > 1")
+    repeated = written(firsts.filter("copies > 1"), "warc-copies")
     same = (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes"))
-    revisits = known.join(repeated, same).filter(F.col("record") != F.col("first.record")).select(
-        F.col("record").alias("_record"), "first"
-    )
-    rows = converted(spark, arc, tuple(CONVERTED.names))
-    decided = rows.join(revisits, F.col("record") == F.col("_record"), "left")
-    again = F.col("_record").isNotNull()
-
-    def line(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-
-    block = F.concat("head", F.when(again, F.lit("")).otherwise(F.col("payload")))
-    page = F.col("first.page_id").cast("string")
-    refers = F.concat(
-        line("WARC-Profile", F.lit(REVISIT_PROFILE)),
-        line("WARC-Refers-To", F.concat(F.lit("<urn:uuid:"), "first.record", F.lit(">"))),
-        line("WARC-Refers-To-Target-URI", F.col("first.uri")),
-        line("WARC-Refers-To-Date", F.col("first.date")),
-        F.when(page.isNotNull(), line(REFERS_HEADER, page)).otherwise(F.lit("")),
+    revisits = (
+        known.join(repeated, same)
+        .filter(F.col("record") != F.col("first.record"))
+        .groupBy("archive")
+        .agg(F.collect_list(F.struct("record", "first")).alias("revisits"))
     )
-    digests = F.concat(
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
-        F.when(again, F.lit("")).otherwise(
-            line("WARC-Block-Digest", F.concat(F.lit("sha1:"), "block_digest"))
-        ),
-    )
-    value = F.concat(
-        F.lit("WARC/1.0\r\n"),
-        line("WARC-Type", F.when(again, F.lit("revisit")).otherwise(F.col("kind"))),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), "record", F.lit(">"))),
-        line("WARC-Date", F.col("date")),
-        F.when(F.col("kind") == "warcinfo", line("WARC-Filename", F.col("uri"))).otherwise(
-            F.concat(line("WARC-Target-URI", F.col("uri")), line("WARC-IP-Address", F.col("address")))
-        ),
-        F.when(again, refers).otherwise(F.lit("")),
-        digests,
-        line("Content-Type", F.col("content_type")),
-        line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit("\r\n"),
-        block,
-    )
-    decided.select(value.alias("value")).write.option("lineSep", END_OF_RECORD).option(
-        "compression", "gzip"
-    ).option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                archive = batch.column(0)[i].as_py()
+                first_of = {r["record"]: r["first"] for r in batch.column(2)[i].as_py() or []}
+                held: list[str] = []
+                for part in convert(archive, gzip.decompress(batch.column(1)[i].as_py())):
+                    held.append(_record_text(part, first_of.get(part.record)))
+                    if len(held) == 200:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+                        held = []
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+
+    joined = _archives(spark, arc).join(revisits, F.col("path") == F.col("archive"), "left")
+    lines = joined.select("path", "content", "revisits").mapInArrow(write, "value string")
+    lines.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").option(
+        "maxRecordsPerFile", RECORDS_PER_ARCHIVE
+    ).text(path)
 
 
 # --- reading WARC --------------------------------------------------------------------
