@@ -23,7 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import mixed, span_hashes, text_slices, word_spans, written
+from ledgerloom.llm.common import (
+    give_back_memory,
+    mixed,
+    span_hashes,
+    text_slices,
+    word_spans,
+    written,
+)
 from ledgerloom.llm.graph import components
 
 WORDS = 3
@@ -229,6 +236,7 @@ def keyed_sets(docs: DataFrame, threshold: int) -> DataFrame:
             yield _rows(key[begins], node[begins])
             held.clear()
             seen.clear()
+            give_back_memory()
 
         for batch in batches:
             ids = batch.column(0)
@@ -563,12 +571,17 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         ),
         "jaccard-labels",
     )
-    smallest = labelled.filter("n_shingles > 0").groupBy(F.col("component").alias("of")).agg(
-        F.min("doc_id").alias("smallest")
+    # Written, so that the join's side with a hot component can be split.
+    smallest = written(
+        labelled.filter("n_shingles > 0")
+        .groupBy(F.col("component").alias("of"))
+        .agg(F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1"),
+        "jaccard-smallest",
     )
     together = (F.col("component") == F.col("of")) & (F.col("n_shingles") > 0)
     return labelled.join(smallest, together, "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("rows") > 1, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
     )
