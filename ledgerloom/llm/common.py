@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,7 +20,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 # Rows of a batch are worked on in slices of about this many bytes, so that the
 # numpy columns beside a text (eight bytes or more per byte) stay small.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,22 @@ def ranked_within(df: DataFrame, group: str, order: Sequence[str], purpose: str)
     )
 
 
+def give_back_memory() -> None:
+    """Return what this worker has freed to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The batch's column ``text``, or that field of its column ``row``."""
+    if "text" in batch.schema.names:
+        return batch.column(batch.schema.names.index("text"))
+    return pc.struct_field(batch.column(batch.schema.names.index("row")), "text")
+
+
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of a string column, a slice at a time.
 

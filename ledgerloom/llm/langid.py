@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import SLICE_BYTES, fold, mixed, written
+from ledgerloom.llm.common import fold, give_back_memory, mixed, text_of, written
 
 ORDER = 4
 FOLDS, HELD_OUT = 4, 2
@@ -38,6 +38,9 @@ MARGIN = 0.35
 # Texts shorter than this spread more; the margin grows by their length's square root.
 FULL_LENGTH = 200
 
+# Texts are worked on in blocks of this many characters, at some 150 bytes each.
+BLOCK_CHARS = 1 << 18
+
 # Letters above this code point are folded into this many classes.
 ALPHABET = 1 << 12
 BLANK = 32
@@ -116,13 +119,13 @@ def _padded(codes: np.ndarray, begin: np.ndarray, order: int) -> tuple[np.ndarra
 
 
 def _blocks(texts: list[str], rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Row numbers in blocks of about ``SLICE_BYTES`` characters; a text is not divided."""
+    """Row numbers in blocks of about ``BLOCK_CHARS`` characters; a text is not divided."""
     block: list[int] = []
     size = 0
     for r in rows:
         block.append(int(r))
         size += len(texts[r])
-        if size >= SLICE_BYTES:
+        if size >= BLOCK_CHARS:
             yield np.array(block)
             block, size = [], 0
     if block:
@@ -353,7 +356,8 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
         .agg(F.min("level").alias("least"))
     )
     frequent = (F.col("lang") == F.col("of_lang")) & (F.col("n") >= F.col("least"))
-    return counts.join(levels, frequent).select("lang", "gram", "n")
+    # A row per language, of which every task holds a whole model later on.
+    return counts.join(F.broadcast(levels), frequent).select("lang", "gram", "n")
 
 
 def fit_languages(docs: DataFrame) -> LanguageModels:
@@ -409,8 +413,10 @@ def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            texts = [t or "" for t in batch.column(names.index("text")).to_pylist()]
+            texts = [t or "" for t in text_of(batch).to_pylist()]
             langs, scores, accepted = _decide(texts, sent.value)
+            del texts
+            give_back_memory()
             kept = [batch.column(i) for i, n in enumerate(names) if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(langs, pa.string()), pa.array(scores), pa.array(accepted)],

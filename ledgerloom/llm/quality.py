@@ -9,7 +9,7 @@ from ledgerloom.llm.common import fold
 from ledgerloom.llm.subwords import Model, Settings, fit, score
 
 # Case is kept and repeated words are features of their own: both tell poor text.
-SETTINGS = Settings(repeats=True, contrast=6.0, sample_per_class=2000)
+SETTINGS = Settings(repeats=True, contrast=6.0, sample_per_class=1200)
 FOLDS, HELD_OUT = 5, 0
 ACCEPTED = 0.3
 
@@ -28,6 +28,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = ACCEPTED) ->
 
     Every row is scored over its whole text. A null or empty text has the average of
     nothing and so the model's bias. Columns of ``docs`` with the new names are replaced.
+    The text may also be a field of a struct column ``row``, which is kept whole.
     """
     rows = docs.drop("held_out", "score", "predicted")
     return score(rows, model).withColumns(

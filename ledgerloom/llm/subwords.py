@@ -17,7 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import mixed, span_hashes, text_slices, word_spans
+from ledgerloom.llm.common import (
+    give_back_memory,
+    mixed,
+    span_hashes,
+    text_of,
+    text_slices,
+    word_spans,
+)
 
 
 @dataclass(frozen=True)
@@ -252,17 +259,49 @@ def fit(
     rows = training_rows(docs, labels, label, learn, settings)
     sample = rows.mapInArrow(
         count, "doc_id long, entries array<int>, shares array<float>, label int"
+    )
+
+    def learn_from(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries: list[np.ndarray] = []
+        shares: list[np.ndarray] = []
+        classes: list[int] = []
+        batch = None
+        for batch in batches:
+            entries += [np.asarray(v.values) for v in batch.column(1)]
+            shares += [np.asarray(v.values) for v in batch.column(2)]
+            classes += batch.column(3).to_pylist()
+        model = train(entries, shares, np.array(classes, np.int64), settings)
+        del entries, shares, batch
+        give_back_memory()
+        at = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
+                pa.array([model.weights[at]], pa.list_(pa.float32())),
+                pa.array([model.bias]),
+            ],
+            names=["entries", "weights", "bias"],
+        )
+
+    # The sample is bounded, so one task can hold it; in the same order however tasks
+    # came in, training gives the same model. Only the weights come to the driver.
+    learned = sample.repartition(1).sortWithinPartitions("doc_id", "label")
+    found = learned.mapInArrow(
+        learn_from, "entries array<int>, weights array<float>, bias double"
     ).toArrow()
-    # The same order however tasks came in, so that training gives the same model.
-    sample = sample.sort_by([("doc_id", "ascending")])
-    lists = [
-        [np.asarray(v.values) for v in sample.column(name)] for name in ("entries", "shares")
-    ]
-    return train(lists[0], lists[1], sample.column("label").to_numpy(), settings)
+    if not found.num_rows:
+        return train([], [], np.zeros(0, np.int64), settings)
+    model = Model(np.zeros(settings.buckets, np.float32), found.column("bias")[0].as_py(), settings)
+    at, weights = (np.asarray(found.column(n)[0].values) for n in ("entries", "weights"))
+    model.weights[at] = weights
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``; the columns given must include ``text`` and go along."""
+    """``docs`` with ``score``; columns but ``text`` go along.
+
+    Without a column ``text`` it is looked for in the struct ``row``, which is kept.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     wanted = [f for f in docs.schema.fields if f.name != "text"]
 
@@ -270,7 +309,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             names = batch.schema.names
             kept = [batch.column(i) for i, n in enumerate(names) if n != "text"]
-            found = scored(batch.column(names.index("text")), sent.value)
+            found = scored(text_of(batch), sent.value)
+            give_back_memory()
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(found)], names=[*[n for n in names if n != "text"], "score"]
             )

@@ -10,7 +10,7 @@ from ledgerloom.llm.subwords import Model, Settings, fit, score
 
 # A few words make a long text toxic: the step is large and goes on for long, so that
 # their entries outweigh a text full of others. Case says nothing.
-SETTINGS = Settings(lower=True, contrast=6.0, rate=2.0, epochs=300)
+SETTINGS = Settings(lower=True, contrast=6.0, rate=2.0, epochs=300, sample_per_class=2000)
 FOLDS, HELD_OUT = 3, 1
 FLAGGED = 0.7
 
