@@ -54,7 +54,7 @@ def _where(
 ) -> DataFrame:
     """Rows of ``docs`` that ``judged`` accepts; the row rides along, so nothing is joined."""
     row = F.struct(*docs.columns).alias("row")
-    return judged(docs.select("doc_id", "text", row)).filter(condition).select("row.*")
+    return judged(docs.select("doc_id", row)).filter(condition).select("row.*")
 
 
 STAGES: list[tuple[str, Stage]] = [
