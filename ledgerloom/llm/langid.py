@@ -5,8 +5,10 @@ model of the next character given up to ``ORDER - 1`` before it; the language wh
 model needs the fewest nats per character wins, and texts that no model fits are
 rejected at a level calibrated on texts of known language.
 
-Counts cover every labelled row outside the held-out fold. The trained model is a few
-sorted arrays of n-gram hashes with a column of log probabilities per language.
+Counts cover every labelled row outside the held-out fold, and every n-gram counted is
+in the model. A model that one task can hold is a few sorted arrays of n-gram hashes with
+a column of log probabilities per language; a larger one stays in written tables, and
+texts' n-grams are joined with them.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,9 +30,12 @@ ORDER = 4
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
-# Size of the model that every task gets: n-grams of the highest order, the most
-# frequent over all rows. Counting itself has no such bound.
-MODEL_GRAMS = 400_000
+# N-grams of the highest order, of all languages together, up to which every task gets
+# the model. A larger model is joined with instead; both give the same probabilities.
+HELD_GRAMS = 1_600_000
+# N-grams in the most texts, whose probabilities are sent to the tasks of that join, so
+# that the rows of a very common n-gram are not all dealt to one task.
+HOT_GRAMS = 1 << 14
 # Texts per language on which the level of rejection is calibrated, and the margin in
 # nats per character beyond what those texts need.
 CALIBRATION_TEXTS = 500
@@ -341,40 +346,180 @@ def cross_entropies(texts: list[str], models: LanguageModels) -> tuple[np.ndarra
     return found, lengths
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Each language's n-grams down to the lowest count that keeps ``most`` of them at most.
+# --- models too large for a task --------------------------------------------------
 
-    The level is found on the table of counts of counts, which is small for any corpus.
+
+@dataclass
+class StoredModels:
+    """Models in tables, one row per language and n-gram or context of each order."""
+
+    langs: list[str]
+    grams: list[DataFrame]
+    rests: list[DataFrame]
+    limits: np.ndarray
+
+    @property
+    def known(self) -> bool:
+        return bool(self.langs)
+
+
+def _low(gram: Column, order: int) -> Column:
+    """The last ``order`` characters of an n-gram."""
+    return gram.bitwiseAND(F.lit((1 << (12 * order)) - 1))
+
+
+def stored_models(counts: DataFrame, langs: list[str]) -> StoredModels:
+    """:func:`build_models` as Spark aggregates and joins; nothing comes to the driver.
+
+    ``grams`` hold ``lang``, ``gram``, ``p``; ``rests`` the weight ``rest`` that a
+    ``context`` leaves to shorter ones.
     """
-    above = Window.partitionBy("of_lang").orderBy(F.desc("level"))
-    levels = (
-        counts.groupBy(F.col("lang").alias("of_lang"), F.col("n").alias("level"))
-        .agg(F.count(F.lit(1)).alias("grams"))
-        .withColumn("so_far", F.sum("grams").over(above))
-        .filter(F.col("so_far") <= most)
-        .groupBy("of_lang")
-        .agg(F.min("level").alias("least"))
+    tables = {ORDER: counts.select("lang", "gram", F.col("n").cast("double").alias("n"))}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = tables[k + 1].groupBy("lang", _low(F.col("gram"), k).alias("gram"))
+        tables[k] = written(shorter.agg(F.count(F.lit(1)).cast("double").alias("n")), f"langid-counts-{k}")
+    grams: list[DataFrame] = []
+    rests: list[DataFrame] = []
+    for k in range(1, ORDER + 1):
+        once, twice = (F.count_if(F.col("n") == c).cast("double") for c in (1, 2))
+        seen = tables[k].groupBy("lang").agg(once.alias("once"), twice.alias("twice"))
+        discounts = seen.select(
+            "lang",
+            F.when(
+                (F.col("once") > 0) & (F.col("twice") > 0),
+                F.col("once") / (F.col("once") + 2 * F.col("twice")),
+            ).otherwise(0.5).alias("discount"),
+        )
+        placed = tables[k].withColumn("context", F.shiftright("gram", 12))
+        # A row per language.
+        contexts = written(
+            placed.groupBy("lang", "context")
+            .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+            .join(F.broadcast(discounts), "lang")
+            .withColumn("rest", F.col("discount") * F.col("kinds") / F.col("total")),
+            f"langid-contexts-{k}",
+        )
+        whole = placed.join(contexts, ["lang", "context"])
+        own = (F.col("n") - F.col("discount")) / F.col("total")
+        if k == 1:
+            found = whole.select("lang", "gram", (own + F.col("rest") / ALPHABET).alias("p"))
+        else:
+            base = grams[-1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("base"))
+            found = (
+                whole.withColumn("suffix", _low(F.col("gram"), k - 1))
+                .join(base, ["lang", "suffix"])
+                .select("lang", "gram", (own + F.col("rest") * F.col("base")).alias("p"))
+            )
+            # As in build_models, contexts that are no n-gram themselves leave all weight.
+            known = tables[k - 1].select(F.col("gram").alias("context")).distinct()
+            contexts = contexts.join(known, "context", "left_semi")
+        grams.append(written(found, f"langid-model-{k}"))
+        rests.append(contexts.select("lang", "context", "rest"))
+    return StoredModels(langs, grams, rests, np.full(len(langs), np.inf))
+
+
+def _log_probabilities(wanted: DataFrame, models: StoredModels) -> DataFrame:
+    """``gram`` and ``log_p``, an entry per language, for the distinct ``gram`` of ``wanted``."""
+    spark = wanted.sparkSession
+    langs = spark.createDataFrame(list(enumerate(models.langs)), "i int, lang string")
+    shorter: DataFrame | None = None
+    for k in range(1, ORDER + 1):
+        here = wanted.select(_low(F.col("gram"), k).alias("gram")).distinct()
+        each = here.crossJoin(F.broadcast(langs)).withColumns(
+            {"context": F.shiftright("gram", 12), "suffix": _low(F.col("gram"), k - 1)}
+        )
+        each = each.join(models.grams[k - 1], ["lang", "gram"], "left").join(
+            models.rests[k - 1], ["lang", "context"], "left"
+        )
+        left = F.coalesce(F.log("rest"), F.lit(0.0))
+        if shorter is None:
+            base = left - F.log(F.lit(float(ALPHABET)))
+        else:
+            each = each.join(
+                shorter.select("lang", F.col("gram").alias("suffix"), F.col("log_p").alias("base")),
+                ["lang", "suffix"],
+            )
+            base = left + F.col("base")
+        shorter = written(
+            each.select("lang", "i", "gram", F.coalesce(F.log("p"), base).alias("log_p")), f"langid-wanted-{k}"
+        )
+    listed = F.sort_array(F.collect_list(F.struct("i", "log_p")))
+    return shorter.groupBy("gram").agg(listed["log_p"].alias("log_p"))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+def _stored_entropies(texts: DataFrame, models: StoredModels) -> DataFrame:
+    """``_digest``, ``_nats`` (as in :func:`cross_entropies`) and ``_length`` of distinct ``text``.
+
+    Every text's distinct n-grams are joined with their probabilities. Texts without a
+    letter have no row.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = batch.column(0)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for block in _blocks(texts, np.arange(len(texts))):
+                codes, begin = _padded(*letters([texts[r] for r in block]), ORDER)
+                key = gram_keys(codes, ORDER)
+                found = [
+                    np.unique(key[a:max(b - ORDER + 1, a)], return_counts=True)
+                    for a, b in zip(begin[:-1], begin[1:], strict=True)
+                ]
+                owner = np.repeat(block, [len(g) for g, _ in found])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        digests.take(pa.array(owner)),
+                        pa.array(np.concatenate([g for g, _ in found])),
+                        pa.array(np.concatenate([n for _, n in found])),
+                    ],
+                    names=["_digest", "gram", "n"],
+                )
+            give_back_memory()
+
+    distinct = texts.select(_digest(F.col("text")).alias("_digest"), "text").dropDuplicates(["_digest"])
+    pairs = written(distinct.mapInArrow(count, "_digest binary, gram long, n long"), "langid-pairs")
+    wanted = written(pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")), "langid-wanted")
+    found = written(_log_probabilities(wanted, models), "langid-found")
+    hot = wanted.orderBy(F.desc("texts"), "gram").limit(HOT_GRAMS).select("gram")
+    hot = F.broadcast(written(hot, "langid-hot"))
+    parts = [
+        pairs.join(hot, "gram", "left_semi").join(F.broadcast(found.join(hot, "gram", "left_semi")), "gram"),
+        pairs.join(hot, "gram", "left_anti").join(found, "gram"),
+    ]
+    sums = [F.sum(F.col("n") * F.col("log_p")[i]) for i in range(len(models.langs))]
+    length = F.sum("n")
+    return (
+        parts[0]
+        .unionByName(parts[1])
+        .groupBy("_digest")
+        .agg(F.array(*[-s / length for s in sums]).alias("_nats"), length.alias("_length"))
     )
-    frequent = (F.col("lang") == F.col("of_lang")) & (F.col("n") >= F.col("least"))
-    # A row per language, of which every task holds a whole model later on.
-    return counts.join(F.broadcast(levels), frequent).select("lang", "gram", "n")
 
 
-def fit_languages(docs: DataFrame) -> LanguageModels:
+# --- fitting and deciding ----------------------------------------------------------
+
+
+def fit_languages(docs: DataFrame) -> LanguageModels | StoredModels:
     """Models of every language that rows with text and language outside the fold name.
 
-    Counts are taken over all those rows. The ``MODEL_GRAMS`` most frequent n-grams of
-    each language make its model; that bound, times the number of languages, is what
-    comes to the driver.
+    Counts are taken over all those rows, and all n-grams counted make the model. It
+    comes to the driver if it has at most ``HELD_GRAMS``.
     """
     rows = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     )
     counts = written(gram_counts(rows), "langid-counts")
-    table = _most_frequent(counts, MODEL_GRAMS).toPandas()
-    if table.empty:
+    sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
+    if not sizes:
         return LanguageModels([], [], np.zeros(0))
-    models = build_models(table.sort_values(["lang", "gram"]))
+    if sum(sizes.values()) <= HELD_GRAMS:
+        models = build_models(counts.toPandas().sort_values(["lang", "gram"]))
+    else:
+        models = stored_models(counts, sorted(sizes))
     first = Window.partitionBy("lang").orderBy("at", "doc_id")
     chosen = (
         rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("at"))
@@ -382,21 +527,50 @@ def fit_languages(docs: DataFrame) -> LanguageModels:
         .filter(F.col("place") <= CALIBRATION_TEXTS)
         .select(F.col("doc_id").alias("of"), F.col("lang").alias("in"))
     )
-    sample = (
-        rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("in")))
-        .select("lang", "text")
-        .toPandas()
-    )
+    sample = rows.join(
+        F.broadcast(chosen), (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("in"))
+    ).select("lang", "text")
+    found = _scored(sample, models).toPandas()
     for i, lang in enumerate(models.langs):
-        texts = sample.loc[sample["lang"] == lang, "text"].tolist()
-        nats, lengths = cross_entropies(texts, models)
-        usual = nats[lengths >= FULL_LENGTH, i]
+        usual = found[(found["lang"] == lang) & (found["_length"] >= FULL_LENGTH)]["_nats"]
         if len(usual):
-            models.limits[i] = float(np.quantile(usual, 0.99)) + MARGIN
+            models.limits[i] = float(np.quantile([nats[i] for nats in usual], 0.99)) + MARGIN
     return models
 
 
-def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
+def _scored(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame:
+    """All columns of ``docs`` but ``text``, and ``_nats`` per language and ``_length``."""
+    kept_fields = [f for f in docs.schema.fields if f.name != "text"]
+    names = [f.name for f in kept_fields]
+    if isinstance(models, StoredModels):
+        text = F.col("text") if "text" in docs.columns else F.col("row.text")
+        found = _stored_entropies(docs.select(text.alias("text")), models)
+        scores = written(found, "langid-scores").withColumnRenamed("_digest", "_of_digest")
+        return (
+            docs.select(*[F.col(f"`{n}`") for n in names], _digest(text).alias("_digest"))
+            .join(scores, F.col("_digest") == F.col("_of_digest"), "left")
+            .withColumn("_length", F.coalesce("_length", F.lit(0).cast("long")))
+            .drop("_digest", "_of_digest")
+        )
+    sent = docs.sparkSession.sparkContext.broadcast(models)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nats, lengths = cross_entropies([t or "" for t in text_of(batch).to_pylist()], sent.value)
+            give_back_memory()
+            kept = [batch.column(batch.schema.names.index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(list(nats), pa.list_(pa.float64())), pa.array(lengths)],
+                names=[*names, "_nats", "_length"],
+            )
+
+    schema = ", ".join(
+        [*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields], "_nats array<double>, _length long"]
+    )
+    return docs.mapInArrow(apply, schema)
+
+
+def predict(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame:
     """All columns of ``docs`` but ``text``, and ``held_out``, ``lang_pred``, ``score``, ``accepted``.
 
     Only the text decides. ``lang_pred`` is the language of the lowest cross-entropy,
@@ -407,20 +581,29 @@ def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
     character than texts of their language do. Columns with the new names are replaced.
     """
     rows = docs.drop("held_out", "lang_pred", "score", "accepted")
-    sent = docs.sparkSession.sparkContext.broadcast(models)
     kept_fields = [f for f in rows.schema.fields if f.name != "text"]
+    stored = isinstance(models, StoredModels)
+    given = _scored(rows, models) if stored else rows
+    langs, limits = models.langs, models.limits
+    sent = None if stored else docs.sparkSession.sparkContext.broadcast(models)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            texts = [t or "" for t in text_of(batch).to_pylist()]
-            langs, scores, accepted = _decide(texts, sent.value)
-            del texts
-            give_back_memory()
-            kept = [batch.column(i) for i, n in enumerate(names) if n != "text"]
+            if stored:
+                nats = np.zeros((batch.num_rows, len(langs)))
+                for r, found in enumerate(batch.column(names.index("_nats")).to_pylist()):
+                    if found is not None:
+                        nats[r] = found
+                lengths = np.asarray(batch.column(names.index("_length")))
+                decided = _judged(nats, lengths, langs, limits)
+            else:
+                decided = _decide([t or "" for t in text_of(batch).to_pylist()], sent.value)
+                give_back_memory()
+            kept = [(n, batch.column(i)) for i, n in enumerate(names) if n not in ("text", "_nats", "_length")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(langs, pa.string()), pa.array(scores), pa.array(accepted)],
-                names=[*[n for n in names if n != "text"], "lang_pred", "score", "accepted"],
+                [*[c for _, c in kept], pa.array(decided[0], pa.string()), *map(pa.array, decided[1:])],
+                names=[*[n for n, _ in kept], "lang_pred", "score", "accepted"],
             )
 
     schema = ", ".join(
@@ -429,7 +612,7 @@ def predict(docs: DataFrame, models: LanguageModels) -> DataFrame:
             "lang_pred string, score double, accepted boolean",
         ]
     )
-    return rows.mapInArrow(apply, schema).withColumn(
+    return given.mapInArrow(apply, schema).withColumn(
         "held_out", fold(F.col("doc_id"), FOLDS) == HELD_OUT
     )
 
@@ -438,12 +621,18 @@ def _decide(texts: list[str], models: LanguageModels) -> tuple[list[str], np.nda
     if not models.known:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
     nats, lengths = cross_entropies(texts, models)
-    best = nats.argmin(1) if len(texts) else np.zeros(0, np.int64)
-    lowest = nats[np.arange(len(texts)), best]
+    return _judged(nats, lengths, models.langs, models.limits)
+
+
+def _judged(
+    nats: np.ndarray, lengths: np.ndarray, langs: list[str], limits: np.ndarray
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    best = nats.argmin(1) if len(nats) else np.zeros(0, np.int64)
+    lowest = nats[np.arange(len(nats)), best]
     weight = np.minimum(lengths, FULL_LENGTH)[:, None]
     share = 1 / np.exp(np.minimum((lowest[:, None] - nats) * weight, 0)).sum(1)
     some = lengths > 0
     slack = MARGIN * np.sqrt(FULL_LENGTH / np.clip(lengths, 1, FULL_LENGTH)) - MARGIN
-    accepted = some & (lowest <= models.limits[best] + slack)
-    langs = [models.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
-    return langs, np.where(some, share, 0.0), accepted
+    accepted = some & (lowest <= limits[best] + slack)
+    named = [langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
+    return named, np.where(some, share, 0.0), accepted

@@ -198,3 +198,26 @@ def test_texts_of_no_language_are_rejected(spark):
     draw = np.random.default_rng(1)
     noise = ["".join(draw.choice(list("qxzjkwvy bcdfg"), 600)) for _ in range(5)]
     assert not langid._decide(noise, models)[2].any()
+
+
+def test_models_of_any_size_keep_every_gram(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    docs = docs.unionByName(odd_docs(spark).select("doc_id", "lang", "text"))
+    held_models = langid.fit_languages(docs)
+    monkeypatch.setattr(langid, "HELD_GRAMS", 100)
+    monkeypatch.setattr(langid, "HOT_GRAMS", 50)
+    stored = langid.fit_languages(docs)
+    assert stored.langs == held_models.langs
+    # All n-grams counted are in the model, those seen once as well.
+    learned = docs.filter("lang is not null and text is not null and crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 4 != 2")
+    counts = langid.gram_counts(learned)
+    assert counts.filter("n = 1").count() > 100
+    assert stored.grams[-1].count() == counts.count()
+    assert len(held_models.levels[-1].hashes) == counts.select("gram").distinct().count()
+    assert stored.limits == pytest.approx(held_models.limits, rel=1e-4)
+    want = sorted(langid.predict(docs, held_models).collect(), key=repr)
+    got = sorted(langid.predict(docs, stored).collect(), key=repr)
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert (a.doc_id, a.lang_pred, a.accepted) == (b.doc_id, b.lang_pred, b.accepted)
+        assert a.score == pytest.approx(b.score, abs=1e-3)
