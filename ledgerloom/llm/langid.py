@@ -3,7 +3,7 @@
 Texts become lower-case letters with single blanks between words. Every language has a
 model of the next character given up to ``ORDER - 1`` before it; the language whose
 model needs the fewest nats per character wins, and texts that no model fits are
-rejected at a level calibrated on texts of known language.
+rejected at a level calibrated on all training texts of that language and length class.
 
 Counts cover every labelled row outside the held-out fold, and every n-gram counted is
 in the model. A model that one task can hold is a few sorted arrays of n-gram hashes with
@@ -22,7 +22,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import fold, give_back_memory, mixed, text_of, written
 
@@ -36,9 +35,9 @@ HELD_GRAMS = 1_600_000
 # N-grams in the most texts, whose probabilities are sent to the tasks of that join, so
 # that the rows of a very common n-gram are not all dealt to one task.
 HOT_GRAMS = 1 << 14
-# Texts per language on which the level of rejection is calibrated, and the margin in
-# nats per character beyond what those texts need.
-CALIBRATION_TEXTS = 500
+# Lengths at which a new class of texts begins, each with a level of rejection of its own,
+# and the margin in nats per character beyond what a language's texts need.
+LENGTH_CLASSES = (25, 50, 100, 200)
 MARGIN = 0.35
 # Texts shorter than this spread more; the margin grows by their length's square root.
 FULL_LENGTH = 200
@@ -216,6 +215,10 @@ class LanguageModels:
         return bool(self.langs)
 
 
+def no_limits(langs: int) -> np.ndarray:
+    return np.full((langs, len(LENGTH_CLASSES) + 1), np.inf)
+
+
 def _hashes(key: np.ndarray) -> np.ndarray:
     return mixed(key.view(np.uint64))
 
@@ -307,7 +310,7 @@ def build_models(counts: pd.DataFrame) -> LanguageModels:
         level.hashes = hashes[order]
         level.log_p[:-1] = level.log_p[:-1][order]
         level.log_rest[:-1] = level.log_rest[:-1][order]
-    return LanguageModels(list(langs), levels, np.full(len(langs), np.inf))
+    return LanguageModels(list(langs), levels, no_limits(len(langs)))
 
 
 def cross_entropies(texts: list[str], models: LanguageModels) -> tuple[np.ndarray, np.ndarray]:
@@ -415,7 +418,7 @@ def stored_models(counts: DataFrame, langs: list[str]) -> StoredModels:
             contexts = contexts.join(known, "context", "left_semi")
         grams.append(written(found, f"langid-model-{k}"))
         rests.append(contexts.select("lang", "context", "rest"))
-    return StoredModels(langs, grams, rests, np.full(len(langs), np.inf))
+    return StoredModels(langs, grams, rests, no_limits(len(langs)))
 
 
 def _log_probabilities(wanted: DataFrame, models: StoredModels) -> DataFrame:
@@ -515,29 +518,38 @@ def fit_languages(docs: DataFrame) -> LanguageModels | StoredModels:
     counts = written(gram_counts(rows), "langid-counts")
     sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
     if not sizes:
-        return LanguageModels([], [], np.zeros(0))
+        return LanguageModels([], [], no_limits(0))
     if sum(sizes.values()) <= HELD_GRAMS:
         models = build_models(counts.toPandas().sort_values(["lang", "gram"]))
     else:
         models = stored_models(counts, sorted(sizes))
-    first = Window.partitionBy("lang").orderBy("at", "doc_id")
-    chosen = (
-        rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("at"))
-        .withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") <= CALIBRATION_TEXTS)
-        .select(F.col("doc_id").alias("of"), F.col("lang").alias("in"))
-    )
-    sample = rows.join(
-        F.broadcast(chosen), (F.col("doc_id") == F.col("of")) & (F.col("lang") == F.col("in"))
-    ).select("lang", "text")
-    found = _scored(sample, models).toPandas()
-    for i, lang in enumerate(models.langs):
-        usual = found[(found["lang"] == lang) & (found["_length"] >= FULL_LENGTH)]["_nats"]
-        if len(usual):
-            models.limits[i] = float(np.quantile([nats[i] for nats in usual], 0.99)) + MARGIN
+    models.limits = _limits(rows, models)
     return models
 
 
+def _limits(rows: DataFrame, models: LanguageModels | StoredModels) -> np.ndarray:
+    """The level of rejection of each language (rows) and length class.
+
+    It is what 99 % of all the language's rows of that class need, to a ten-thousandth of
+    their number, and the margin. A class without rows takes the level of the next longer
+    class that has some, or else of the next shorter one.
+    """
+    place = F.array_position(F.array(*[F.lit(lang) for lang in models.langs]), F.col("lang"))
+    longer = [(F.col("_length") >= least).cast("int") for least in LENGTH_CLASSES]
+    # A row per language and class.
+    found = (
+        _scored(rows.select("lang", "text"), models)
+        .filter("_length > 0")
+        .groupBy((place - 1).alias("i"), functools.reduce(lambda a, b: a + b, longer).alias("c"))
+        .agg(F.percentile_approx(F.element_at("_nats", place.cast("int")), 0.99, 10_000).alias("usual"))
+        .collect()
+    )
+    known = np.full((len(models.langs), len(LENGTH_CLASSES) + 1), np.nan)
+    for r in found:
+        known[r["i"], r["c"]] = r["usual"] + MARGIN
+    return pd.DataFrame(known).bfill(axis=1).ffill(axis=1).fillna(np.inf).to_numpy()
+
+
 def _scored(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame:
     """All columns of ``docs`` but ``text``, and ``_nats`` per language and ``_length``."""
     kept_fields = [f for f in docs.schema.fields if f.name != "text"]
@@ -633,6 +645,7 @@ def _judged(
     share = 1 / np.exp(np.minimum((lowest[:, None] - nats) * weight, 0)).sum(1)
     some = lengths > 0
     slack = MARGIN * np.sqrt(FULL_LENGTH / np.clip(lengths, 1, FULL_LENGTH)) - MARGIN
-    accepted = some & (lowest <= limits[best] + slack)
+    usual = limits[best, np.searchsorted(LENGTH_CLASSES, lengths, "right")]
+    accepted = some & (lowest <= usual + slack)
     named = [langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
     return named, np.where(some, share, 0.0), accepted

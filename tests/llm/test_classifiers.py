@@ -221,3 +221,21 @@ def test_models_of_any_size_keep_every_gram(spark, monkeypatch):
     for a, b in zip(got, want, strict=True):
         assert (a.doc_id, a.lang_pred, a.accepted) == (b.doc_id, b.lang_pred, b.accepted)
         assert a.score == pytest.approx(b.score, abs=1e-3)
+
+
+def test_short_texts_alone_calibrate_their_language(spark):
+    words = "river stone cloud meadow garden winter lantern morning".split()
+    draw = np.random.default_rng(3)
+    # Each id is given many times, and no text has 200 letters.
+    texts = [(i % 40, "en", " ".join(draw.choice(words, 6))) for i in range(400)]
+    models = langid.fit_languages(spark.createDataFrame(texts, "doc_id long, lang string, text string"))
+    assert np.isfinite(models.limits).all()
+    noise = ["qxzj kwvy " * 4, "qxzj kwvy " * 60]
+    assert langid._decide(noise, models)[2].tolist() == [False, False]
+    assert langid._decide([" ".join(words[:6])], models)[2].all()
+    # The level is that of all rows outside the fold, whatever their number.
+    rows = [t for i, _, t in texts if not held(i, 4, 2)]
+    nats, lengths = langid.cross_entropies(rows, models)
+    usual = np.sort(nats[(lengths >= 25) & (lengths < 50), 0])
+    want = usual[int(np.ceil(0.99 * len(usual))) - 1]
+    assert models.limits[0, 1] == pytest.approx(want + langid.MARGIN, abs=1e-6)
