@@ -24,6 +24,7 @@ from ledgerloom.llm.common import (
     text_of,
     text_slices,
     word_spans,
+    written,
 )
 
 
@@ -149,20 +150,25 @@ def telling(
 
 
 def train(
-    entries: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray, settings: Settings
+    entries: list[np.ndarray],
+    shares: list[np.ndarray],
+    labels: np.ndarray,
+    settings: Settings,
+    used: np.ndarray | None = None,
 ) -> Model:
     """Minibatch gradient descent with a step size of its own per table entry.
 
     Only telling entries are trained; the others keep the zero vector, as entries never
-    seen do, so that no text is learned by heart through words that say nothing. With
-    one class only, or none, the model knows that class, or even odds.
+    seen do, so that no text is learned by heart through words that say nothing. They are
+    ``used``, or told by the rows given. With one class only, or none, the model knows that class, or even odds.
     """
     labels = np.asarray(labels, np.int64)
     weights = np.zeros(settings.buckets, np.float32)
     present = np.unique(labels)
     if len(present) < 2:
         return Model(weights, 0.0 if not len(present) else 4.0 * (2 * int(present[0]) - 1), settings)
-    used = telling(entries, shares, labels, settings)
+    if used is None:
+        used = telling(entries, shares, labels, settings)
     compact = np.full(settings.buckets, -1, np.int32)
     compact[used] = np.arange(len(used))
     kept = [compact[e] for e in entries]
@@ -208,57 +214,114 @@ def train(
 # --- on Spark ------------------------------------------------------------------------
 
 
-def training_rows(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings
-) -> DataFrame:
-    """``text`` and ``label`` of a bounded sample of labelled rows, chosen by hash of the id.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """``doc_id``, ``digest``, ``text`` and ``label`` of every row to learn from.
 
-    The sample holds at most ``sample_per_class`` ids of each class; ids with a null or
-    contradictory label are left out.
+    Ids with a null or contradictory label are left out.
     """
     known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
-        .filter("doc_id is not null and label in (0, 1)")
-        .groupBy("doc_id")
+        labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label).alias("label"))
+        .filter("of is not null and label in (0, 1)")
+        .groupBy("of")
         .agg(F.min("label").alias("label"), F.max("label").alias("most"))
         .filter("label = most")
-        .filter(learn)
-        .select("doc_id", "label", F.xxhash64("doc_id").alias("at"))
+        .select("of", "label")
+    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(learn)
+    rows = texts.join(known, F.col("doc_id") == F.col("of")).select(
+        "doc_id",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"),
+        "text",
+        F.col("label").cast("int").alias("label"),
     )
+    return written(rows, "labelled")
+
+
+def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
+    """A bounded sample of the labelled rows, chosen by hash of the id.
+
+    The sample holds at most ``sample_per_class`` ids of each class.
+    """
+    known = labelled.select("doc_id", "label", F.xxhash64("doc_id").alias("at")).distinct()
     parts = [
         known.filter(F.col("label") == c).orderBy("at", "doc_id").limit(settings.sample_per_class)
         for c in (0, 1)
     ]
-    chosen = parts[0].unionByName(parts[1]).select(F.col("doc_id").alias("of"), "label")
+    chosen = parts[0].unionByName(parts[1]).select("doc_id")
     # At most twice sample_per_class rows: small enough to send to every task.
-    return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
-        .select("doc_id", "text", "label")
+    return labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+
+
+def telling_entries(labelled: DataFrame, settings: Settings) -> np.ndarray:
+    """:func:`telling` over all labelled rows: the more there are, the rarer it may be.
+
+    Each task adds up its rows; at most a number per table entry comes to the driver.
+    """
+    texts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if len(texts) < 2:
+        return np.zeros(0, np.int64)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((3, settings.buckets))
+        for batch in batches:
+            labels = batch.column(1).to_pylist()
+            for label, (entry, share) in zip(labels, counted(batch.column(0), settings), strict=True):
+                # Entries of a text are distinct.
+                share = share.astype(np.float32).astype(float)
+                sums[label, entry] += share
+                sums[2, entry] += share**2
+        at = np.flatnonzero(sums[2])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), *[pa.array(row[at]) for row in sums]],
+            names=["entry", "none", "one", "square"],
+        )
+        del sums
+        give_back_memory()
+
+    parts = labelled.select("text", "label").mapInArrow(
+        add, "entry int, none double, one double, square double"
+    )
+    rows = float(texts[0] + texts[1])
+    spread = F.col("square") / rows - ((F.col("none") + F.col("one")) / rows) ** 2
+    error = F.greatest(spread, F.lit(0.0)) * (1 / texts[0] + 1 / texts[1])
+    apart = F.abs(F.col("one") / texts[1] - F.col("none") / texts[0])
+    found = (
+        parts.groupBy("entry")
+        .agg(*[F.sum(c).alias(c) for c in ("none", "one", "square")])
+        # Sums in another order differ in their last digits.
+        .filter((apart > 1e-12) & (apart >= settings.contrast * F.sqrt(error)))
+        .select("entry")
+        .toArrow()
     )
+    return np.sort(np.asarray(found.column("entry").to_numpy(), np.int64))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings
 ) -> Model:
     """A model of ``label`` from the rows that ``learn`` (on ``doc_id``) admits."""
+    labelled = labelled_rows(docs, labels, label, learn)
+    used = telling_entries(labelled, settings)
+    sent = docs.sparkSession.sparkContext.broadcast(used.astype(np.int32))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells = np.zeros(settings.buckets, bool)
+        tells[sent.value] = True
         for batch in batches:
-            found = list(counted(batch.column(1), settings))
+            found = [(e[tells[e]], s[tells[e]]) for e, s in counted(batch.column(2), settings)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([e.astype(np.int32) for e, _ in found], pa.list_(pa.int32())),
                     pa.array([s.astype(np.float32) for _, s in found], pa.list_(pa.float32())),
-                    batch.column(2).cast(pa.int32()),
+                    batch.column(3),
                 ],
-                names=["doc_id", "entries", "shares", "label"],
+                names=["doc_id", "digest", "entries", "shares", "label"],
             )
 
-    rows = training_rows(docs, labels, label, learn, settings)
-    sample = rows.mapInArrow(
-        count, "doc_id long, entries array<int>, shares array<float>, label int"
+    sample = training_rows(labelled, settings).mapInArrow(
+        count, "doc_id long, digest string, entries array<int>, shares array<float>, label int"
     )
 
     def learn_from(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +330,10 @@ def fit(
         classes: list[int] = []
         batch = None
         for batch in batches:
-            entries += [np.asarray(v.values) for v in batch.column(1)]
-            shares += [np.asarray(v.values) for v in batch.column(2)]
-            classes += batch.column(3).to_pylist()
-        model = train(entries, shares, np.array(classes, np.int64), settings)
+            entries += [np.asarray(v.values) for v in batch.column(2)]
+            shares += [np.asarray(v.values) for v in batch.column(3)]
+            classes += batch.column(4).to_pylist()
+        model = train(entries, shares, np.array(classes, np.int64), settings, sent.value)
         del entries, shares, batch
         give_back_memory()
         at = np.flatnonzero(model.weights)
@@ -283,9 +346,9 @@ def fit(
             names=["entries", "weights", "bias"],
         )
 
-    # The sample is bounded, so one task can hold it; in the same order however tasks
+    # The sample is bounded and has telling entries only, so one task can hold it; in the same order however tasks
     # came in, training gives the same model. Only the weights come to the driver.
-    learned = sample.repartition(1).sortWithinPartitions("doc_id", "label")
+    learned = sample.repartition(1).sortWithinPartitions("doc_id", "digest")
     found = learned.mapInArrow(
         learn_from, "entries array<int>, weights array<float>, bias double"
     ).toArrow()

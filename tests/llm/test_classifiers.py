@@ -3,10 +3,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import langid, quality, toxicity
 from ledgerloom.llm.queries import QUERIES
-from ledgerloom.llm.subwords import Settings, counted, features, scored, train
+from ledgerloom.llm.subwords import Settings, counted, features, fit, scored, train
 from tests.llm.fixtures import SF_DIR, no_docs, odd_docs
 
 TINY = Settings(buckets=1 << 14, epochs=20, contrast=1.0)
@@ -239,3 +240,21 @@ def test_short_texts_alone_calibrate_their_language(spark):
     usual = np.sort(nats[(lengths >= 25) & (lengths < 50), 0])
     want = usual[int(np.ceil(0.99 * len(usual))) - 1]
     assert models.limits[0, 1] == pytest.approx(want + langid.MARGIN, abs=1e-6)
+
+
+def test_rare_markers_become_telling_as_labels_grow(spark):
+    draw = np.random.default_rng(5)
+    plain = "river stone cloud meadow garden winter lantern morning".split()
+    texts = []
+    for i in range(8000):
+        words = list(draw.choice(plain, 10))
+        if i % 2:
+            # One toxic text in forty has the rare word, the others a common one.
+            words[draw.integers(10)] = "wqzjx" if i % 80 == 1 else "disgusting"
+        texts.append((i, " ".join(words), i % 2))
+    given = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    # The sample has about ten texts with the rare word, which alone tell nothing.
+    settings = Settings(buckets=1 << 16, epochs=40, contrast=6.0, sample_per_class=400)
+    model = fit(given.select("doc_id", "text"), given.select("doc_id", "toxic"), "toxic", F.lit(True), settings)
+    rare, good = scored(pa.array(["stone cloud wqzjx river", "stone cloud meadow river"]), model)
+    assert rare > 0.7 > 0.3 > good
