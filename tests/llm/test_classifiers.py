@@ -258,3 +258,8 @@ def test_rare_markers_become_telling_as_labels_grow(spark):
     model = fit(given.select("doc_id", "text"), given.select("doc_id", "toxic"), "toxic", F.lit(True), settings)
     rare, good = scored(pa.array(["stone cloud wqzjx river", "stone cloud meadow river"]), model)
     assert rare > 0.7 > 0.3 > good
+
+
+def test_samples_have_their_full_size():
+    assert quality.SETTINGS.sample_per_class == 2000
+    assert toxicity.SETTINGS.sample_per_class == 3000
