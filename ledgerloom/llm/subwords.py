@@ -215,9 +215,9 @@ def train(
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> DataFrame:
-    """``doc_id``, ``digest``, ``text`` and ``label`` of every row to learn from.
+    """``doc_id``, ``digest``, ``text`` and ``label`` of every row to learn from, one per id and text.
 
-    Ids with a null or contradictory label are left out.
+    Ids with a null or contradictory label, or of no document, are left out.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label).alias("label"))
@@ -234,22 +234,27 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column)
         "text",
         F.col("label").cast("int").alias("label"),
     )
-    return written(rows, "labelled")
+    return written(rows.dropDuplicates(["doc_id", "digest"]), "labelled")
 
 
 def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
-    """A bounded sample of the labelled rows, chosen by hash of the id.
+    """A bounded sample of the labelled rows, chosen by hash of id and text.
 
-    The sample holds at most ``sample_per_class`` ids of each class.
+    The sample holds at most ``sample_per_class`` texts of each class, however many texts
+    an id has.
     """
-    known = labelled.select("doc_id", "label", F.xxhash64("doc_id").alias("at")).distinct()
+    known = labelled.select("doc_id", "digest", "label", F.xxhash64("doc_id", "digest").alias("at"))
     parts = [
-        known.filter(F.col("label") == c).orderBy("at", "doc_id").limit(settings.sample_per_class)
+        known.filter(F.col("label") == c)
+        .orderBy("at", "doc_id", "digest")
+        .limit(settings.sample_per_class)
         for c in (0, 1)
     ]
-    chosen = parts[0].unionByName(parts[1]).select("doc_id")
+    chosen = parts[0].unionByName(parts[1]).select("doc_id", "digest")
     # At most twice sample_per_class rows: small enough to send to every task.
-    return labelled.join(F.broadcast(chosen), "doc_id", "left_semi")
+    return labelled.join(F.broadcast(chosen), ["doc_id", "digest"], "left_semi").select(
+        "doc_id", "digest", "text", "label"
+    )
 
 
 def telling_entries(labelled: DataFrame, settings: Settings) -> np.ndarray:

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import langid, quality, toxicity
 from ledgerloom.llm.queries import QUERIES
-from ledgerloom.llm.subwords import Settings, counted, features, fit, scored, train
+from ledgerloom.llm.subwords import (
+    Settings,
+    counted,
+    features,
+    fit,
+    labelled_rows,
+    scored,
+    train,
+    training_rows,
+)
 from tests.llm.fixtures import SF_DIR, no_docs, odd_docs
 
 TINY = Settings(buckets=1 << 14, epochs=20, contrast=1.0)
@@ -263,3 +272,15 @@ def test_rare_markers_become_telling_as_labels_grow(spark):
 def test_samples_have_their_full_size():
     assert quality.SETTINGS.sample_per_class == 2000
     assert toxicity.SETTINGS.sample_per_class == 3000
+
+
+def test_samples_count_texts_of_documents(spark):
+    texts = [(i, f"text {i}") for i in range(20)] + [(1, "text 1")] * 40 + [(2, f"other {j}") for j in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    # Most labelled ids are of no document.
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    labelled = labelled_rows(docs, labels, "toxic", F.lit(True))
+    assert labelled.count() == 60
+    sample = training_rows(labelled, Settings(sample_per_class=8)).collect()
+    assert sorted(r.label for r in sample) == [0] * 8 + [1] * 8
+    assert len({(r.doc_id, r.text) for r in sample}) == 16
