@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import edits, epsgrid, jaccard, langid, mixing, mtree, packing, quality, toxicity, warc
+from ledgerloom.llm import (
+    edits, epsgrid, fim, jaccard, langid, ledger, mixing, mtree, packing, quality, toxicity, warc,
+)
 from ledgerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +201,89 @@ WITH RECURSIVE words AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return turned.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), numbers AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS two,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT *, substring(t, 1, least(one, two)) AS prefix, substring(t, greatest(one, two) + 1) AS suffix,
+         substring(t, least(one, two) + 1, greatest(one, two) - least(one, two)) AS middle
+  FROM numbers
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(one, two) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN greatest(one, two) - least(one, two) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@query
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = ledger.with_verdict(ledger.rule_ledger(table(spark, sf_dir, "documents")))
+    base = F.lit(ledger.BASE.mask()).cast("long")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (F.col("failed").bitwiseAND(base) != 0).alias("base_failed"), "kept", "failed", "policy",
+    )
+
+
+ORACLES["op12_rule_ledger"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t FROM documents
+), split AS MATERIALIZED (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT nr, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT nr, w, unnest(range(1, len(w) - 3)) AS i FROM split)
+), starts AS (
+  SELECT nr, i FROM (SELECT *, count(*) OVER (PARTITION BY nr, g) AS times FROM windows) WHERE times > 1
+), repeats AS (
+  SELECT nr, sum(least(5, coalesce(upto - i, 5)))::BIGINT AS n
+  FROM (SELECT nr, i, lead(i) OVER (PARTITION BY nr ORDER BY i) AS upto FROM starts) GROUP BY nr
+), measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+         len(lines)::BIGINT AS n_lines, len(regexp_extract_all(t, '\p{L}'))::BIGINT AS n_letters,
+         len(regexp_extract_all(t, '\p{Lu}'))::BIGINT AS n_upper,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_letter_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::BIGINT AS n_stutter
+  FROM split LEFT JOIN repeats USING (nr)
+), judged AS (
+  SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 40 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 100 * n_upper > 60 * n_letters AND n_letters > 0 THEN 16 ELSE 0 END
+    + CASE WHEN 100 * n_letter_words < 70 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 100 * n_stutter > 15 * n_words THEN 64 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 128 ELSE 0 END)::BIGINT AS failed
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,
+       failed = 0 AS kept, failed, 'prose-2' AS policy
+FROM judged
+"""
