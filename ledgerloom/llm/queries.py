@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    edits, epsgrid, fim, jaccard, langid, ledger, mixing, mtree, packing, quality, toxicity, warc,
+    edits, epsgrid, fim, jaccard, langid, ledger, mixing, mtree, packing, quality, shallot,
+    toxicity, warc,
 )
 from ledgerloom.llm.common import table
 
@@ -287,3 +288,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
        failed = 0 AS kept, failed, 'prose-2' AS policy
 FROM judged
 """
+
+
+@query
+def op13_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds_in_sql(rounds: int) -> str:
+    """The CTEs of each round: vectors by nearest centroid, then the centroids' new components."""
+    parts = []
+    for t in range(rounds + 1):
+        parts.append(
+            f"""a{t} AS MATERIALIZED (
+  SELECT nr, cluster, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY nr ORDER BY distance, cluster) AS place FROM (
+      SELECT nr, cluster,
+             list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+      FROM kept x CROSS JOIN c{t} c)) WHERE place = 1
+)"""
+        )
+        if t < rounds:
+            parts.append(
+                f"""m{t} AS MATERIALIZED (
+  SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS i FROM kept JOIN a{t} USING (nr)) GROUP BY ALL
+), c{t + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(moved, v) AS v FROM c{t} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM m{t} GROUP BY cluster) USING (cluster)
+)"""
+            )
+    return ", ".join(parts)
+
+
+ORACLES["op13_shallot_clusters"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INT AS cluster, v
+  FROM kept QUALIFY cluster < 40
+), {_rounds_in_sql(shallot.ROUNDS)}
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM kept JOIN a{shallot.ROUNDS} USING (nr) JOIN c{shallot.ROUNDS} c USING (cluster)
+"""
