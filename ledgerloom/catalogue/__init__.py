@@ -1,5 +1,6 @@
 """Runnable examples of every operator on the given tables, with their SQL twins."""
 
+from ledgerloom.catalogue import changes  # noqa: F401  adds its queries
 from ledgerloom.catalogue.oracles import ORACLES
 from ledgerloom.catalogue.queries import QUERIES
 

@@ -31,7 +31,14 @@ from ledgerloom.operators.mapping import (
     map_links,
     select_blocks,
 )
-from ledgerloom.operators.merge import Watermark, high_water_mark, rows_after
+from ledgerloom.operators.merge import (
+    ChangeLog,
+    Watermark,
+    current_rows,
+    high_water_mark,
+    refused_changes,
+    rows_after,
+)
 from ledgerloom.operators.staging import (
     REJECT_REASON,
     ColumnRule,
@@ -51,6 +58,8 @@ from ledgerloom.plans.links import (
 from ledgerloom.sources.files import TableSource, read_csv, read_parquet, split_corrupt
 from ledgerloom.sources.sinks import (
     WriteResult,
+    apply_change_log,
+    change_horizon,
     drop_partition,
     path_exists,
     upsert_partitions,
@@ -260,6 +269,43 @@ def ingest_increment(
     return upsert_table(spark, path, fresh, keys, [changed_column], keep_newer=True)
 
 
+def ingest_changes(
+    spark: SparkSession,
+    changes: DataFrame,
+    zones: Zones,
+    name: str,
+    log: ChangeLog,
+    run_date: str,
+    partition_by: Sequence[str] = (),
+    horizon: Watermark = None,
+) -> tuple[WriteResult, WriteResult]:
+    """Apply a change log, deletions included, to the staging table of a source.
+
+    The staging table is a state with tombstones; :func:`publish_current` makes the table
+    itself of it. Changes that cannot be applied go to the quarantine of the run date,
+    with the reason, and replace those of an earlier attempt. Returns what was written to
+    both. The log should be a written table: it is read twice.
+    """
+    path, held = zones.table(STAGING, name), zones.table(QUARANTINE, f"{name}_changes")
+    result = apply_change_log(spark, path, changes, log, partition_by, horizon)
+    refused = refused_changes(changes, log, change_horizon(spark, path))
+    drop_partition(spark, held, QUARANTINE_RUN, run_date)
+    return result, write_table(
+        refused.withColumn(QUARANTINE_RUN, F.lit(run_date)),
+        held, partition_by=[QUARANTINE_RUN], replace_partitions=True,
+    )
+
+
+def publish_current(
+    spark: SparkSession, zones: Zones, name: str, log: ChangeLog, partition_by: Sequence[str] = ()
+) -> WriteResult:
+    """The live rows of a staged state as the system of record's table."""
+    rows = current_rows(spark.read.parquet(zones.table(STAGING, name)), log)
+    return write_table(
+        rows, zones.table(SOR, name), partition_by=partition_by, rebalance=bool(partition_by)
+    )
+
+
 def stage_table(
     spark: SparkSession,
     zones: Zones,

@@ -19,10 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.merge import (
+    IS_DELETED,
+    ChangeLog,
+    Watermark,
+    change_states,
     in_base_order,
     latest_per_key,
+    merge_states,
     newest_of_both,
     replace_keys,
+    without_old_tombstones,
 )
 
 SAVE_MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
@@ -285,3 +291,116 @@ def _one_of(name: str, values: set) -> Column:
     known = [v for v in values if v is not None]
     hit = F.col(name).isin(known) if known else F.lit(False)
     return hit | F.col(name).isNull() if None in values else hit
+
+
+# --- change logs -------------------------------------------------------------
+
+# A written column may be this many times larger in memory than in its files.
+UNPACKED = 4
+
+
+def fits_broadcast(spark: SparkSession, path: str) -> bool:
+    """Whether a written table is, unpacked, below the session's own broadcast limit."""
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    fs, folder = _file_system(spark, path)
+    return UNPACKED * fs.getContentSummary(folder).getLength() < limit
+
+
+def _horizon_path(path: str) -> str:
+    return f"{path.rstrip('/')}__horizon"
+
+
+def change_horizon(spark: SparkSession, path: str) -> Watermark:
+    """The latest horizon a state table was brought to, as text; None before the first."""
+    folder = _horizon_path(path)
+    if not path_exists(spark, folder):
+        return None
+    passed = spark.read.parquet(folder).orderBy(F.desc("horizon")).first()
+    return None if passed is None else str(passed["horizon"])
+
+
+def move_horizon(
+    spark: SparkSession, path: str, kind: T.DataType, horizon: Watermark
+) -> Watermark:
+    """The later of the table's horizon and the one given, which is then kept with it.
+
+    Tombstones that are gone cannot come back, so a horizon never goes back either.
+    """
+    stored = change_horizon(spark, path)
+    if horizon is None:
+        return stored
+    given = spark.range(1).select(F.lit(str(horizon)).cast(kind).alias("horizon"))
+    if stored is not None:
+        later = given.select(F.col("horizon") > F.lit(stored).cast(kind)).first()[0]
+        if not later:
+            return stored
+    given.write.mode("append").parquet(_horizon_path(path))
+    return horizon
+
+
+def apply_change_log(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    log: ChangeLog,
+    partition_by: Sequence[str] = (),
+    horizon: Watermark = None,
+) -> WriteResult:
+    """Bring a written state table up to a change log; creates a missing one.
+
+    The newest change of each key is written down first: the log is read once, and its
+    size decides whether the state is shuffled at all (``merge_states``). With
+    ``partition_by``, which must be part of the key, only partitions with changes are
+    read and rewritten; without, the table is replaced by a staged swap. ``horizon`` is
+    kept beside the table and only moves forward; see :func:`~ledgerloom.operators.merge.
+    apply_changes`. Applying a log again changes nothing, so a failed run is repeated whole.
+    """
+    if not set(partition_by) <= set(log.keys):
+        raise ValueError(f"partition columns {list(partition_by)} must be part of the key")
+    horizon = move_horizon(spark, path, changes.schema[log.sequence].dataType, horizon)
+    if not partition_by:
+        recover_table(spark, path)
+    if not path_exists(spark, path):
+        typed = changes.select(*[_as_stored(f, partition_by) for f in changes.schema.fields])
+        first = without_old_tombstones(change_states(typed, log, horizon), log, horizon)
+        return write_table(first, path, partition_by=partition_by, rebalance=bool(partition_by))
+
+    state = spark.read.parquet(path)
+    layout = partition_columns(spark, path)
+    if layout != list(partition_by):
+        raise ValueError(f"{path} is partitioned by {layout}, not by {list(partition_by)}")
+    stored = [f for f in state.schema.fields if f.name != IS_DELETED]
+    names = [f.name for f in stored]
+    missing = sorted(set(names) - set(changes.columns))
+    added = sorted(set(changes.columns) - {*names, log.operation})
+    if missing or (added and partition_by):
+        raise ValueError(f"columns {missing or added} are not on both sides of {path}")
+    typed = changes.select(
+        *[_as_stored(f, partition_by) for f in stored], log.operation, *added
+    )
+    folder = f"{path.rstrip('/')}__changes_{uuid.uuid4().hex}"
+    fs, written = _file_system(spark, folder)
+    try:
+        arrived = change_states(typed, log, horizon)
+        arrived.write.parquet(folder)
+        fresh = spark.read.schema(arrived.schema).parquet(folder)
+        few = not added and fits_broadcast(spark, folder)
+        if not partition_by:
+            merged = merge_states(state, fresh, log, few)
+            return replace_table(without_old_tombstones(merged, log, horizon), path)
+        rows = 0
+        # The driver lists a table's partitions to read it; these are no more than that.
+        touched = [tuple(r) for r in fresh.select(*partition_by).distinct().collect()]
+        for first_one in range(0, len(touched), PARTITIONS_PER_JOB):
+            some = touched[first_one:first_one + PARTITIONS_PER_JOB]
+            merged = merge_states(
+                rows_of_partitions(state, partition_by, some),
+                rows_of_partitions(fresh, partition_by, some), log, few,
+            )
+            rows += write_table(
+                without_old_tombstones(merged, log, horizon), path, "overwrite", partition_by,
+                replace_partitions=True, rebalance=True,
+            ).rows
+        return WriteResult(path, rows)
+    finally:
+        fs.delete(written, True)
