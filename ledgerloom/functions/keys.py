@@ -44,7 +44,8 @@ def _blank_if_null(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def _length_prefixed(name: str) -> Column:
+def length_prefixed(name: str) -> Column:
+    """The value as text after its length, and null as a mark of its own."""
     text = F.col(name).cast("string")
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
@@ -59,7 +60,7 @@ def row_hash(columns: Sequence[str], algorithm: str = "sha2", strict: bool = Fal
     if not columns:
         raise ValueError("row_hash needs at least one column")
     if strict:
-        text = F.concat(*[_length_prefixed(c) for c in columns])
+        text = F.concat(*[length_prefixed(c) for c in columns])
     else:
         text = F.concat_ws(ROW_HASH_SEPARATOR, *[_blank_if_null(c) for c in columns])
     if algorithm == "sha2":

@@ -35,6 +35,15 @@ def _require_same_types(left: DataFrame, right: DataFrame, columns: Sequence[str
             )
 
 
+def compared_columns(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str] | None
+) -> list[str]:
+    """The columns given, or all of the source but the keys; types must agree on both sides."""
+    compared = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
+    _require_same_types(source, target, [*keys, *compared])
+    return compared
+
+
 def count_comparison(before: DataFrame, after: DataFrame) -> DataFrame:
     """Row counts before and after a step, with their difference."""
     return (
@@ -135,8 +144,7 @@ def row_diff(
     which keeps nulls apart from empty strings. Repeated keys are allowed on both
     sides. Without ``columns``, all columns of the source but the keys are compared.
     """
-    compared = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
-    _require_same_types(source, target, [*keys, *compared])
+    compared = compared_columns(source, target, keys, columns)
     content = F.unhex(row_hash(compared, strict=True)) if compared else F.lit("")
     versions = (
         _both_sides(source, target, [*keys, content.alias("content")])

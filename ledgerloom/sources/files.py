@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.sources.jdbc import JdbcConnection, even_slices, value_slices
+from ledgerloom.operators.ranges import balanced_predicates
+from ledgerloom.sources.jdbc import JdbcConnection, even_slices, read_cuts, value_slices
 from ledgerloom.sources.jdbc import read_query as read_jdbc_query
 from ledgerloom.sources.jdbc import read_table as read_jdbc_table
 
@@ -72,8 +73,10 @@ class TableSource:
     path. For JDBC it is the table, or a query when ``is_query`` is set. A table is
     sliced by one of: ``partition_column`` in evenly spaced ranges; ``slice_on`` with
     ``cuts`` in the ranges between these; ``predicates``, such as row-id ranges; or
-    ``slice_on`` alone by its remainder, at the cost of a scan per slice. A table or
-    query that is small says ``one_task``.
+    ``slice_on`` alone by its remainder, at the cost of a scan per slice. ``balanced``
+    has the source find the cuts of ``slice_on`` for ``num_partitions`` even slices, and
+    divides values that fill several by ``spread_by``, a whole-number expression; the
+    probe sorts that column once. A table or query that is small says ``one_task``.
     """
 
     name: str
@@ -86,6 +89,8 @@ class TableSource:
     num_partitions: int = 4
     slice_on: str | None = None
     cuts: Sequence[int | date] = ()
+    balanced: bool = False
+    spread_by: str | None = None
     predicates: Sequence[str] = ()
     is_query: bool = False
     one_task: bool = False
@@ -107,7 +112,12 @@ class TableSource:
         if self.is_query:
             return read_jdbc_query(spark, self.connection, self.location, self.one_task)
         predicates = list(self.predicates)
-        if self.slice_on and not predicates:
+        if self.slice_on and self.balanced and not predicates:
+            cuts = read_cuts(
+                spark, self.connection, self.location, self.slice_on, self.num_partitions
+            )
+            predicates = balanced_predicates(self.slice_on, cuts, self.spread_by)
+        elif self.slice_on and not predicates:
             predicates = (
                 value_slices(self.slice_on, self.cuts) if self.cuts
                 else even_slices(self.slice_on, self.num_partitions)

@@ -3,7 +3,7 @@
 A read without slices is one task on one connection, whatever the table's size, and
 warns unless that is asked for. Slices should be ranges of an indexed column: evenly
 spaced ones (``partition_column``) for an evenly spread column, chosen cut points
-(``value_slices``) for another, or row-id ranges of the source given as predicates.
+(``value_slices``, or balanced ones from ``read_cuts``) for another, or row-id ranges of the source given as predicates.
 ``even_slices`` cuts on a remainder, which no hot value can unbalance, but no index
 serves it: each slice scans the source's whole table, so it is for a source where
 scans are cheap and ranges are not to be had.
@@ -95,6 +95,30 @@ def read_bounds(
     return bound_texts(row[0], row[1])
 
 
+def cuts_table(table: str, column: str, slices: int) -> str:
+    """Derived table of the cut points between even slices, found inside the source.
+
+    One row per slice but the first, a value that fills several slices several times. A
+    large table may be given with the source's own sampling clause.
+    """
+    if slices < 1:
+        raise ValueError("slices must be at least 1")
+    return (
+        f"(SELECT MIN(cut_value) AS cut_point FROM (SELECT {column} AS cut_value, "
+        f"NTILE({slices}) OVER (ORDER BY {column}) AS slice FROM {table} "
+        f"WHERE {column} IS NOT NULL) ranked WHERE slice > 1 GROUP BY slice) cuts"
+    )
+
+
+def read_cuts(
+    spark: SparkSession, connection: JdbcConnection, table: str, column: str, slices: int
+) -> list[Any]:
+    """Cut points of even slices, as many rows as slices, fetched from the source."""
+    reader = spark.read.format("jdbc").options(**connection.reader_options())
+    rows = reader.option("dbtable", cuts_table(table, column, slices)).load().collect()
+    return sorted(r[0] for r in rows)
+
+
 def read_table(
     spark: SparkSession,
     connection: JdbcConnection,
