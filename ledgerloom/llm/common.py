@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,14 +47,48 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def ranked_within(df: DataFrame, group: str, order: Sequence[str], purpose: str) -> DataFrame:
+_SENT: ContextVar[list[Broadcast] | None] = ContextVar("sent", default=None)
+
+
+def sent(spark: SparkSession, value: Any) -> Broadcast:
+    """``value`` for every task; inside :func:`released`, until that ends."""
+    broadcast = spark.sparkContext.broadcast(value)
+    held = _SENT.get()
+    if held is not None:
+        held.append(broadcast)
+    return broadcast
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Take back what is sent inside, from the driver, executors and their Python workers.
+
+    For work whose result is written before this ends: what was sent is then of no use
+    to a lost task either. Workers live on between stages and would keep every model.
+    """
+    held: list[Broadcast] = []
+    token = _SENT.set(held)
+    try:
+        yield
+    finally:
+        _SENT.reset(token)
+        for broadcast in held:
+            broadcast.destroy()
+
+
+def ranked_within(
+    df: DataFrame, group: str, order: Sequence[str], purpose: str, rows: str | None = None
+) -> DataFrame:
     """``df`` with ``row_rank``, the row's number from 1 within its group.
 
     Rows are range-partitioned by group and order, so a group of any size spreads
     over many tasks; each task numbers its own rows, and the counts of the tasks
-    before it are added. Only rows equal in all of ``order`` may trade places.
+    before it are added. Only rows equal in all of ``order`` may trade places: a range
+    cannot part them, so where there may be many, count them first and name the count's
+    column as ``rows``. A row then stands for that many, and has the number of its last.
     """
     keys = [group, *order]
+    each = F.col(rows) if rows else F.lit(1)
     placed = written(
         df.repartitionByRange(*keys).withColumn("_task", F.spark_partition_id()), purpose
     )
@@ -58,14 +96,15 @@ def ranked_within(df: DataFrame, group: str, order: Sequence[str], purpose: str)
     before = Window.partitionBy(group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_task", group)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.sum(each).alias("_rows"))
         .select(
             F.col("_task").alias("_of_task"),
             F.col(group).alias("_of_group"),
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
         )
     )
-    numbered = placed.withColumn("_place", F.row_number().over(within))
+    place = F.sum(each).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = placed.withColumn("_place", place)
     same = (F.col("_task") == F.col("_of_task")) & F.col(group).eqNullSafe(F.col("_of_group"))
     return (
         numbered.join(offsets, same)
@@ -154,7 +193,10 @@ _TABLES: dict[str, np.ndarray] = {}
 def _table(name: str, base: int, n: int) -> np.ndarray:
     known = _TABLES.get(name)
     if known is None or len(known) < n:
-        known = _TABLES[name] = _powers(max(n, SLICE_BYTES + 1), base)
+        known = _powers(max(n, SLICE_BYTES + 1), base)
+        # Workers live on between tasks: what one very long text needs is not kept.
+        if len(known) <= 4 * SLICE_BYTES:
+            _TABLES[name] = known
     return known
 
 

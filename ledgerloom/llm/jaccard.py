@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import (
     give_back_memory,
     mixed,
+    released,
+    sent,
     span_hashes,
     text_slices,
     word_spans,
@@ -36,6 +38,8 @@ from ledgerloom.llm.graph import components
 WORDS = 3
 # Linked when 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 90
+# Bands of sizes grow by half, so below this a partner may be two bands away.
+LEAST_THRESHOLD = 67
 
 # Dimensions of the points, and entries of a tree node.
 GROUPS = 32
@@ -489,7 +493,7 @@ def _gate(clusters: DataFrame) -> np.ndarray:
 def _verified_links(docs: DataFrame, clusters: DataFrame, threshold: int) -> DataFrame:
     """Links between distinct sets of every cluster, enough to connect all that are linked."""
 
-    gate = docs.sparkSession.sparkContext.broadcast(_gate(clusters))
+    gate = sent(docs.sparkSession, _gate(clusters))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -552,25 +556,26 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     ``component_id`` is the smallest id reachable; rows without words link with nothing
     and are their own. A null id is passed over when the smallest is sought, so it is
     null only where no row of the component has an id. Equal and repeated rows share a
-    component. No rows give no rows.
+    component. No rows give no rows. ``threshold`` is from 67 to 100 percent.
     """
-    if not 50 <= threshold <= 100:
-        raise ValueError("threshold must be from 50 to 100 percent")
-    rows = written(linked_keys(keyed_sets(docs, threshold)), "jaccard-keys")
-    candidates = rows.filter("mark.link").select(F.col("key").alias("a"), F.col("node").alias("b"))
-    clusters = components(candidates)
-    label = components(_verified_links(docs, clusters, threshold))
-    label = label.withColumnRenamed("node", "of_node")
-    sized = rows.filter("not mark.link").select(
-        "mark.doc_id", F.col("mark.n").alias("n_shingles"), _id("node", "mark.second").alias("id")
-    )
-    # Only sets that link with another one are in the table of labels.
-    labelled = written(
-        sized.join(label, F.col("id") == F.col("of_node"), "left").select(
-            "doc_id", "n_shingles", F.coalesce("root", "id").alias("component")
-        ),
-        "jaccard-labels",
-    )
+    if not LEAST_THRESHOLD <= threshold <= 100:
+        raise ValueError(f"threshold must be from {LEAST_THRESHOLD} to 100 percent")
+    with released():
+        rows = written(linked_keys(keyed_sets(docs, threshold)), "jaccard-keys")
+        candidates = rows.filter("mark.link").select(F.col("key").alias("a"), F.col("node").alias("b"))
+        clusters = components(candidates)
+        label = components(_verified_links(docs, clusters, threshold))
+        label = label.withColumnRenamed("node", "of_node")
+        sized = rows.filter("not mark.link").select(
+            "mark.doc_id", F.col("mark.n").alias("n_shingles"), _id("node", "mark.second").alias("id")
+        )
+        # Only sets that link with another one are in the table of labels.
+        labelled = written(
+            sized.join(label, F.col("id") == F.col("of_node"), "left").select(
+                "doc_id", "n_shingles", F.coalesce("root", "id").alias("component")
+            ),
+            "jaccard-labels",
+        )
     # Written, so that the join's side with a hot component can be split.
     smallest = written(
         labelled.filter("n_shingles > 0")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fold, give_back_memory, mixed, text_of, written
+from ledgerloom.llm.common import fold, give_back_memory, mixed, released, sent, text_of, written
 
 ORDER = 4
 FOLDS, HELD_OUT = 4, 2
@@ -537,13 +537,14 @@ def _limits(rows: DataFrame, models: LanguageModels | StoredModels) -> np.ndarra
     place = F.array_position(F.array(*[F.lit(lang) for lang in models.langs]), F.col("lang"))
     longer = [(F.col("_length") >= least).cast("int") for least in LENGTH_CLASSES]
     # A row per language and class.
-    found = (
-        _scored(rows.select("lang", "text"), models)
-        .filter("_length > 0")
-        .groupBy((place - 1).alias("i"), functools.reduce(lambda a, b: a + b, longer).alias("c"))
-        .agg(F.percentile_approx(F.element_at("_nats", place.cast("int")), 0.99, 10_000).alias("usual"))
-        .collect()
-    )
+    with released():
+        found = (
+            _scored(rows.select("lang", "text"), models)
+            .filter("_length > 0")
+            .groupBy((place - 1).alias("i"), functools.reduce(lambda a, b: a + b, longer).alias("c"))
+            .agg(F.percentile_approx(F.element_at("_nats", place.cast("int")), 0.99, 10_000).alias("usual"))
+            .collect()
+        )
     known = np.full((len(models.langs), len(LENGTH_CLASSES) + 1), np.nan)
     for r in found:
         known[r["i"], r["c"]] = r["usual"] + MARGIN
@@ -564,11 +565,11 @@ def _scored(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame
             .withColumn("_length", F.coalesce("_length", F.lit(0).cast("long")))
             .drop("_digest", "_of_digest")
         )
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    held = sent(docs.sparkSession, models)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nats, lengths = cross_entropies([t or "" for t in text_of(batch).to_pylist()], sent.value)
+            nats, lengths = cross_entropies([t or "" for t in text_of(batch).to_pylist()], held.value)
             give_back_memory()
             kept = [batch.column(batch.schema.names.index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(
@@ -597,7 +598,7 @@ def predict(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame
     stored = isinstance(models, StoredModels)
     given = _scored(rows, models) if stored else rows
     langs, limits = models.langs, models.limits
-    sent = None if stored else docs.sparkSession.sparkContext.broadcast(models)
+    held = None if stored else sent(docs.sparkSession, models)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -610,7 +611,7 @@ def predict(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame
                 lengths = np.asarray(batch.column(names.index("_length")))
                 decided = _judged(nats, lengths, langs, limits)
             else:
-                decided = _decide([t or "" for t in text_of(batch).to_pylist()], sent.value)
+                decided = _decide([t or "" for t in text_of(batch).to_pylist()], held.value)
                 give_back_memory()
             kept = [(n, batch.column(i)) for i, n in enumerate(names) if n not in ("text", "_nats", "_length")]
             yield pa.RecordBatch.from_arrays(

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import (
     give_back_memory,
     mixed,
+    released,
+    sent,
     span_hashes,
     text_of,
     text_slices,
@@ -305,13 +307,20 @@ def fit(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings
 ) -> Model:
     """A model of ``label`` from the rows that ``learn`` (on ``doc_id``) admits."""
+    with released():
+        return _fitted(docs, labels, label, learn, settings)
+
+
+def _fitted(
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings
+) -> Model:
     labelled = labelled_rows(docs, labels, label, learn)
     used = telling_entries(labelled, settings)
-    sent = docs.sparkSession.sparkContext.broadcast(used.astype(np.int32))
+    held = sent(docs.sparkSession, used.astype(np.int32))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tells = np.zeros(settings.buckets, bool)
-        tells[sent.value] = True
+        tells[held.value] = True
         for batch in batches:
             found = [(e[tells[e]], s[tells[e]]) for e, s in counted(batch.column(2), settings)]
             yield pa.RecordBatch.from_arrays(
@@ -338,7 +347,7 @@ def fit(
             entries += [np.asarray(v.values) for v in batch.column(2)]
             shares += [np.asarray(v.values) for v in batch.column(3)]
             classes += batch.column(4).to_pylist()
-        model = train(entries, shares, np.array(classes, np.int64), settings, sent.value)
+        model = train(entries, shares, np.array(classes, np.int64), settings, held.value)
         del entries, shares, batch
         give_back_memory()
         at = np.flatnonzero(model.weights)
@@ -370,14 +379,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Without a column ``text`` it is looked for in the struct ``row``, which is kept.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
     wanted = [f for f in docs.schema.fields if f.name != "text"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             kept = [batch.column(i) for i, n in enumerate(names) if n != "text"]
-            found = scored(text_of(batch), sent.value)
+            found = scored(text_of(batch), held.value)
             give_back_memory()
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(found)], names=[*[n for n in names if n != "text"], "score"]

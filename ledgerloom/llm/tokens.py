@@ -11,9 +11,14 @@ import os
 import re
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import cached_property
+from typing import TYPE_CHECKING
 
 import numpy as np
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 TOKENIZER = "byte_bpe_50k.json"
 
 # What the byte-level pre-tokenizer splits by (fixed value).
@@ -36,9 +41,8 @@ class TextEncoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self._defining = Tokenizer.from_file(path)
+        self._path = path
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         special = {t["content"]: t["id"] for t in content["added_tokens"]}
@@ -53,6 +57,13 @@ class TextEncoder:
             "file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @cached_property
+    def _defining(self) -> Tokenizer:
+        """The library's own tokenizer, read when a text first needs it: few do, and it is large."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self._path)
+
     def ids(self, text: str) -> np.ndarray:
         """Ids of one text as unsigned 32-bit integers."""
         if not text:
