@@ -79,13 +79,21 @@ def mix_sizes(
     like size, a source's taken words differ from its target by about one document.
 
     A null text has size 0, a null source is a source of its own, the last one. Rows
-    that share id, source and size (repeated rows, null ids) share one decision, so a
-    row given many times is never gathered to be told apart. Sources without words
-    have target 0 and are not taken. No rows give no rows.
+    that share id, source and size (repeated rows, null ids) are counted and ranked as
+    one run, and the copies of the run are dealt to its rows. Sources without words have
+    target 0 and are not taken. No rows give no rows.
     """
-    decided = _decided(_units(docs), weights, share, most)
-    return decided.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop(
-        "_row", "rows"
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    decided = _decided(_runs(sized, ["source", "size", "doc_id"]), ["size", "doc_id"], weights, share, most)
+    number = F.col("row_rank") - F.col("rows") + F.col("_number")
+    copies = _passed(number, F.col("expected"), F.col("offset")) - _passed(
+        number - 1, F.col("expected"), F.col("offset")
+    )
+    return (
+        _times(decided, F.col("rows"), "_number")
+        .withColumn("copies", F.least(copies, F.lit(most).cast("long")))
+        .withColumn("taken", F.col("copies") * F.col("size"))
+        .select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
     )
 
 
@@ -95,46 +103,85 @@ def mixed_documents(
     share: float = SHARE,
     most: int = MOST_COPIES,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, each as many times as :func:`mix_sizes` takes it."""
-    decided = _decided(_units(docs), weights, share, most).filter("copies > 0").select(
-        F.col("doc_id").alias("_doc_id"),
-        F.col("source").alias("_source"),
-        F.col("size").alias("_size"),
-        F.col("copies").alias("_copies"),
+    """The rows of ``docs``, all columns, each as many times as :func:`mix_sizes` takes it.
+
+    Rows with the same id, source and size but other contents are told apart by a digest
+    of the whole row. Rows equal in every column cannot be: one of them is written as
+    often as all of them together are taken, which is the same rows.
+    """
+    names = {n: f"_{n}_{uuid.uuid4().hex}" for n in ("digest", "of", "total", "rows", "number", "row")}
+    whole = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    marked = docs.withColumn(names["digest"], whole)
+    sized = marked.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.col(names["digest"]).alias("digest")
+    )
+    runs = _runs(sized, ["source", "size", "doc_id", "digest"])
+    decided = _decided(runs, ["size", "doc_id", "digest"], weights, share, most)
+    taken = _passed(F.col("row_rank"), F.col("expected"), F.col("offset")) - _passed(
+        F.col("row_rank") - F.col("rows"), F.col("expected"), F.col("offset")
+    )
+    chosen = written(
+        decided.select(
+            F.col("digest").alias(names["of"]),
+            F.least(taken, F.col("rows") * most).alias(names["total"]),
+            F.col("rows").alias(names["rows"]),
+        ).filter(F.col(names["total"]) > 0),
+        "mixing-chosen",
     )
-    same = (
-        docs["doc_id"].eqNullSafe(decided["_doc_id"])
-        & docs["source"].eqNullSafe(decided["_source"])
-        & (word_count(docs["text"]) == decided["_size"])
+    same = F.col(names["digest"]) == F.col(names["of"])
+    single = marked.join(chosen.filter(F.col(names["rows"]) == 1), same)
+    # A row repeated many times is one per task before it moves.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = chosen.filter(F.col(names["rows"]) > 1)
+    one = (
+        marked.join(repeated.select(names["of"]), same, "left_semi")
+        .groupBy(names["digest"])
+        .agg(F.first(F.struct(*columns)).alias(names["row"]))
+        .join(repeated, same)
     )
-    one = "_copy_" + uuid.uuid4().hex
-    each = F.explode(F.sequence(F.lit(1).cast("long"), decided["_copies"])).alias(one)
-    return docs.join(decided, same).select(*[docs[c] for c in docs.columns], each).drop(one)
+    kept = single.select(*columns, names["total"]).unionByName(
+        one.select(f"{names['row']}.*", names["total"])
+    )
+    return _times(kept, F.col(names["total"]), names["number"]).select(*columns)
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    units = sized.groupBy("source", "size", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    return written(units, "mixing-units")
+def _runs(sized: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows counted by all of ``keys``, written for the looks at them."""
+    return written(sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), "mixing-runs")
+
+
+def _passed(rank: Column, expected: Column, offset: Column) -> Column:
+    """Whole numbers that the sum has passed after ``rank`` rows."""
+    return F.floor(rank * expected + offset)
 
 
-def _decided(units: DataFrame, weights: Sequence[int], share: float, most: int) -> DataFrame:
+def _times(df: DataFrame, times: Column, number: str) -> DataFrame:
+    """Every row ``times`` times, with ``number`` from 1; made in blocks, so none is long."""
+    block = "_block_" + uuid.uuid4().hex
+    size = F.lit(1 << 16).cast("long")
+    one = F.lit(1).cast("long")
+    blocks = df.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((times - 1) / size))))
+    first = F.col(block) * size
+    rows = F.sequence(first + one, F.least(first + size, times))
+    return blocks.withColumn(number, F.explode(rows)).drop(block)
+
+
+def _decided(
+    runs: DataFrame, order: Sequence[str], weights: Sequence[int], share: float, most: int
+) -> DataFrame:
+    """Every run with the number of its last row, and what a row of its source expects."""
     if not weights or min(weights) <= 0 or not 0 <= share <= most:
         raise ValueError("weights must be positive, and the share between 0 and the most copies")
-    ranked = ranked_within(units, "source", ["size", "doc_id"], "mixing-ranks")
-    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
+    ranked = ranked_within(runs, "source", order, "mixing-ranks", rows="rows")
+    sizes = runs.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = written(source_targets(sizes, weights, share, most), "mixing-targets")
     targets = targets.withColumnRenamed("source", "_of_source")
     expected = F.when(
         F.col("source_size") > 0, F.col("target") / F.col("source_size")
     ).otherwise(F.lit(0.0))
-    offset = start_offset(F.col("source"))
-    upto = F.floor(F.col("row_rank") * F.col("_expected") + offset)
-    earlier = F.floor((F.col("row_rank") - 1) * F.col("_expected") + offset)
     return (
         ranked.join(targets, F.col("source").eqNullSafe(F.col("_of_source")))
-        .withColumn("_expected", expected)
-        .withColumn("copies", F.least(upto - earlier, F.lit(most).cast("long")))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_of_source", "_expected", "row_rank")
+        .withColumn("expected", expected)
+        .withColumn("offset", start_offset(F.col("source")))
+        .drop("_of_source")
     )
