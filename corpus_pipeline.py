@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import jaccard, langid, mixing, packing, quality
-from ledgerloom.llm.common import table, written
+from ledgerloom.llm.common import released, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,15 +28,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Repeated rows of that document are one; rows without an id stay, since no other row
-    can stand for them by name.
+    Repeated rows of that document are one. A row without an id goes by a number drawn
+    from its text, above all ids, so it stays only where no document of its group has one.
     """
-    found = jaccard.near_duplicates(docs)
+    unnamed = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(docs["text"]), 2)
+    name = F.coalesce(docs["doc_id"], unnamed)
+    found = jaccard.near_duplicates(docs.select(name.alias("doc_id"), "text"))
     keepers = found.filter(F.col("doc_id") == F.col("component_id")).select(
         F.col("doc_id").alias("_kept")
     )
-    kept = docs.join(keepers, docs["doc_id"] == keepers["_kept"], "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter(docs["doc_id"].isNull()))
+    kept = docs.join(keepers, name == keepers["_kept"], "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,8 +72,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written down before the next reads it."""
+    """All stages over ``documents``; each is written down before the next reads it.
+
+    Null and empty texts have no language and go with the second stage, nulls in other
+    columns stay. No documents give no rows. Models are taken back after their stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with released():
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
