@@ -2,8 +2,8 @@
 
 Cut points come from one pass over one column. Numbers, dates and timestamps go through
 a mergeable quantile sketch; texts, which the sketch does not take, through a sample of
-rows of a fixed size. A value is placed among the cuts by binary search in built-in
-expressions, so that thousands of ranges cost a dozen comparisons a row.
+rows of a fixed size. A value is placed among the cuts by binary search in a built-in
+expression, so that thousands of ranges cost a dozen comparisons a row.
 """
 
 from __future__ import annotations
@@ -79,22 +79,24 @@ def _exact_text(value: Any) -> str:
 def with_range(df: DataFrame, column: str, cuts: Sequence[Any], name: str) -> DataFrame:
     """``df`` with the number of its range: how many of the distinct cuts are not above it.
 
-    Range 0 lies before the first cut, and nulls have :data:`NULL_RANGE`. Each step of the
-    search is a projection of its own, so that none is worked out twice.
+    Range 0 lies before the first cut, and nulls have :data:`NULL_RANGE`. The search is one
+    expression that loops over its steps, so filters on the number stay small wherever the
+    optimizer moves them.
     """
     listed = distinct_cuts(cuts)
+    value = F.col(column)
     if not listed:
-        return df.withColumn(name, F.when(F.col(column).isNull(), NULL_RANGE).otherwise(0))
-    array, value = cuts_column(listed, df.schema[column].dataType), F.col(column)
-    found = df.withColumn(name, F.lit(0))
-    step = 1 << (len(listed).bit_length() - 1)
-    while step:
-        passed = (F.col(name) + step <= len(listed)) & (
-            F.get(array, F.col(name) + (step - 1)) <= value
-        )
-        found = found.withColumn(name, F.col(name) + F.when(passed, step).otherwise(0))
-        step >>= 1
-    return found.withColumn(name, F.when(value.isNull(), NULL_RANGE).otherwise(F.col(name)))
+        return df.withColumn(name, F.when(value.isNull(), NULL_RANGE).otherwise(0))
+    array = cuts_column(listed, df.schema[column].dataType)
+    steps = [1 << i for i in reversed(range(len(listed).bit_length()))]
+
+    def further(found: Column, step: Column) -> Column:
+        inside = found + step <= len(listed)
+        passed = inside & (F.get(array, found + step - 1) <= value)
+        return found + F.when(passed, step).otherwise(0)
+
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+    return df.withColumn(name, F.when(value.isNull(), NULL_RANGE).otherwise(found))
 
 
 def range_filter(
@@ -163,7 +165,7 @@ def balanced_predicates(
 
     ``cuts`` are quantiles as :func:`quantile_cuts` gives them. A value that stands several
     times among them fills slices by itself and no range can divide it: it gets slices of
-    its own, as many as it fills, by the remainder of ``spread_by``, a whole-number SQL
+    its own, one per time it stands, by the remainder of ``spread_by``, a whole-number SQL
     expression, or a single one without that. Predicates are disjoint and cover all rows;
     nulls are in the first.
     """
@@ -178,12 +180,10 @@ def balanced_predicates(
         sign = ">" if cut in hot else ">="
         upper = f" AND {column} < {texts[i + 1]}" if i + 1 < len(texts) else ""
         slices.append(f"{column} {sign} {low}{upper}")
-        if cut in hot and spread_by and times[cut] > 2:
-            parts = times[cut] - 1
+        if cut in hot and spread_by:
+            parts = times[cut]
             remainder = f"ABS(MOD({spread_by}, {parts}))"
-            slices.append(
-                f"{column} = {low} AND ({remainder} = 0 OR ({spread_by}) IS NULL)"
-            )
+            slices.append(f"{column} = {low} AND ({remainder} = 0 OR ({spread_by}) IS NULL)")
             slices += [f"{column} = {low} AND {remainder} = {p}" for p in range(1, parts)]
         elif cut in hot:
             slices.append(f"{column} = {low}")
