@@ -259,14 +259,11 @@ def duplicate_key_count(
     )
 
 
-def _prescreened_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFrame:
-    """The same measures with a narrow shuffle: 64-bit key hashes instead of the keys.
-
-    Rows with equal keys have equal hashes, so a table without a repeated hash has
-    no repeated key. Hashes that do repeat are suspects, and only their rows are
-    grouped by the keys themselves. Runs one job to learn how many there are.
-    """
-    rows = target.select(
+def measured_rows(target: DataFrame, spec: AuditSpec, method: str, *kept: str) -> DataFrame:
+    """What an audit needs of each row in place of its keys: a 64-bit hash of them, marks
+    of null and bare ones, and the row's fingerprint; beside the columns ``kept``."""
+    return target.select(
+        *kept,
         F.xxhash64(*spec.keys).alias("key_hash"),
         F.when(_any_null(spec.keys), 1).otherwise(0).alias("null_key"),
         (F.when(_bare_prefix(spec), 1).otherwise(0) if spec.key_prefixes else F.lit(0)).alias(
@@ -274,6 +271,16 @@ def _prescreened_metrics(target: DataFrame, spec: AuditSpec, method: str) -> Dat
         ),
         fingerprint(spec.checksum_columns, method).alias("fingerprint"),
     )
+
+
+def _prescreened_metrics(target: DataFrame, spec: AuditSpec, method: str) -> DataFrame:
+    """The same measures with a narrow shuffle: 64-bit key hashes instead of the keys.
+
+    Rows with equal keys have equal hashes, so a table without a repeated hash has
+    no repeated key. Hashes that do repeat are suspects, and only their rows are
+    grouped by the keys themselves. Runs one job to learn how many there are.
+    """
+    rows = measured_rows(target, spec, method)
     groups = rows.groupBy("key_hash").agg(
         F.count("*").alias("n"),
         F.sum("null_key").alias("null_key"),
@@ -316,6 +323,7 @@ def audit_links(
     expected_checksum: str | None = None,
     stamped: bool = True,
     prescreen: bool = False,
+    metrics: DataFrame | None = None,
 ) -> DataFrame:
     """Check rows (CHECK_NAME, STATUS, DETAILS, CHECK_TIMESTAMP) for a target table.
 
@@ -329,7 +337,8 @@ def audit_links(
     The measures take one pass and one shuffle of the keys. ``prescreen`` looks for
     repeated 64-bit key hashes first, which shuffles about a third as much and
     leaves the keys themselves to be compared only where hashes repeat; it starts a
-    job while the report is being built.
+    job while the report is being built. ``metrics`` takes the target's measures as one row
+    made elsewhere; only the target's schema is looked at then.
     """
     missing = missing_columns(target, spec.contract)
     unlike = [f"Missing Columns: {missing}"] if missing else []
@@ -340,8 +349,10 @@ def audit_links(
     skipped = f"Skipped, missing columns: {missing}"
 
     source_rows = source.filter(F.expr(spec.source_valid)).agg(F.count("*").alias("n"))
-    measure = _prescreened_metrics if prescreen and keyed and summed else _target_metrics
-    metrics = measure(target, spec, checksum_method).withColumn("source_rows", source_rows.scalar())
+    if metrics is None:
+        measure = _prescreened_metrics if prescreen and keyed and summed else _target_metrics
+        metrics = measure(target, spec, checksum_method)
+    metrics = metrics.withColumn("source_rows", source_rows.scalar())
     if expected_rows is not None:
         metrics = metrics.withColumn("expected_rows", expected_rows.scalar())
 

@@ -129,6 +129,13 @@ def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> b
     return fs.delete(target, True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the outermost partition column, as they stand in the folders' names."""
+    fs, folder = _file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return [n.partition("=")[2] for n in names if n.startswith(f"{column}=")]
+
+
 def recover_table(spark: SparkSession, path: str) -> bool:
     """Finish or undo a swap that was cut short; True if anything was repaired."""
     base = path.rstrip("/")
