@@ -92,6 +92,22 @@ def ingest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def incremental_kept_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early orders, then all of them with late ones changed, from the kept watermark on."""
+    zones = Zones(shared_scratch(spark, "watermark"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("changed_on"), "o_orderpriority"
+    )
+    late = F.col("changed_on") >= F.lit("1997-01-01").cast("date")
+    priority = F.when(late, F.lit("late")).otherwise(F.col("o_orderpriority"))
+    for given in (
+        orders.filter("changed_on < DATE '1996-01-01'"), orders.withColumn("o_orderpriority", priority)
+    ):
+        upkeep.ingest_increment_kept(spark, given, zones, "orders", ["o_orderkey"], "changed_on")
+    return spark.read.parquet(zones.table(STAGING, "orders"))
+
+
 ORACLES["quarantine_release"] = f"""
     SELECT {_STAGED}, '' AS reason FROM orders
     WHERE o_orderpriority <> '5-LOW' OR o_orderstatus <> 'P'
@@ -106,3 +122,7 @@ ORACLES["ingest_resumed"] = """
     SELECT 'orders' AS table_name, 1::BIGINT AS tries, count(*) AS row_count FROM orders
     UNION ALL SELECT 'lines', 2, count(*) FROM lineitem
     UNION ALL SELECT 'parts', 1, count(*) FROM part"""
+ORACLES["incremental_kept_watermark"] = """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS changed_on,
+        CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1997-01-01' THEN 'late' ELSE o_orderpriority END
+            AS o_orderpriority FROM orders"""

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.checksums import checksum_text, hash_sum_lanes
 from ledgerloom.functions.keys import length_prefixed
+from ledgerloom.operators.merge import rows_after
 from ledgerloom.operators.staging import (
     REJECT_REASON,
     ColumnRule,
@@ -26,6 +27,7 @@ from ledgerloom.plans.jobs import (
     IngestFailed,
     StepResult,
     append_run_log,
+    ingest_increment,
     ingest_tables,
     run_log,
 )
@@ -36,6 +38,14 @@ from ledgerloom.sources.zones import QUARANTINE, RAW, RECONCILE, STAGING, Zones,
 ARCHIVE = "archive"
 RAW_DAY = "ETL_DATE"
 RUN_LOG = "etl_pipeline_audit"
+WATERMARKS = "watermarks"
+WATERMARK_SCHEMA = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("watermark", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
+    ]
+)
 MANIFEST_COLUMNS = ("row_count", "checksum")
 
 
@@ -240,3 +250,39 @@ def ingest_resumed(
     if raise_on_failure and any(r.status == FAILED for r in results):
         raise IngestFailed(results)
     return results
+
+
+def kept_watermark(spark: SparkSession, zones: Zones, name: str) -> str | None:
+    """How far increments of a table have come, as text; None before the first."""
+    path = zones.table(RECONCILE, WATERMARKS)
+    if not sinks.path_exists(spark, path):
+        return None
+    kept = spark.read.schema(WATERMARK_SCHEMA).parquet(path).filter(F.col("table_name") == name)
+    return kept.agg(F.max_by("watermark", "created_at")).first()[0]
+
+
+def ingest_increment_kept(
+    spark: SparkSession,
+    source: DataFrame,
+    zones: Zones,
+    name: str,
+    keys: Sequence[str],
+    changed_column: str,
+    partition_by: Sequence[str] = (),
+) -> sinks.WriteResult:
+    """:func:`~ledgerloom.plans.jobs.ingest_increment` from the kept watermark on.
+
+    The staging table is not scanned for it. The next one is the largest value among the
+    source's new rows, looked up before they are taken and kept after they are written: rows
+    that come in between, or a run cut short, are taken again, which merging by key bears.
+    """
+    last = kept_watermark(spark, zones, name)
+    fresh = rows_after(source, changed_column, last, inclusive=True, nulls=True)
+    reached = fresh.agg(F.max(changed_column).cast("string")).first()[0]
+    result = ingest_increment(
+        spark, source, zones, name, keys, changed_column, last, partition_by
+    )
+    if reached is not None and reached != last:
+        row = spark.createDataFrame([(name, reached, datetime.now())], WATERMARK_SCHEMA)
+        sinks.write_table(row.coalesce(1), zones.table(RECONCILE, WATERMARKS), "append")
+    return result

@@ -1,5 +1,6 @@
 """Release of quarantined rows, archives of raw days, resumed runs."""
 
+import datetime
 import os
 
 import pytest
@@ -122,3 +123,22 @@ def test_a_resumed_run_reads_only_what_is_left(spark, zones, tmp_path, monkeypat
     upkeep.ingest_resumed(spark, given, zones, "20240101", run, by_date)
     upkeep.ingest_resumed(spark, given, zones, "20240102", upkeep.Run("r2", "p"), by_date)
     assert reads == ["a", "b", "c", "b", "c", "a", "b", "c"]
+
+
+def test_increments_go_on_from_the_kept_watermark(spark, zones):
+    def load(*data):
+        source = spark.createDataFrame(data, "k long, at date, v string") if data else none
+        upkeep.ingest_increment_kept(spark, source.withColumn("at", F.col("at").cast("date")), zones, "t", ["k"], "at")
+        return {r["k"]: r["v"] for r in spark.read.parquet(zones.table(STAGING, "t")).collect()}
+
+    none = spark.createDataFrame([], "k long, at date, v string")
+    day = [datetime.date(2024, 1, d) for d in range(1, 6)]
+    assert upkeep.kept_watermark(spark, zones, "t") is None
+    assert load((1, day[0], "a"), (2, day[2], "a")) == {1: "a", 2: "a"}
+    assert upkeep.kept_watermark(spark, zones, "t") == "2024-01-03"
+    # Rows before the watermark are not taken, those at it, after it and without a date are.
+    found = load((1, day[1], "b"), (2, day[2], "a"), (3, day[2], "b"), (4, day[4], "b"), (5, None, "b"))
+    assert found == {1: "a", 2: "a", 3: "b", 4: "b", 5: "b"}
+    assert upkeep.kept_watermark(spark, zones, "t") == "2024-01-05"
+    assert load() == found and upkeep.kept_watermark(spark, zones, "t") == "2024-01-05"
+    assert upkeep.kept_watermark(spark, zones, "other") is None
