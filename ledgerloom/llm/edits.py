@@ -177,7 +177,7 @@ def edited(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
     ``chars_encoded``, ``text`` and ``tree``, both as edited. Edits apply in order, each
     to the text the one before left; places count characters and are held to the text.
     Null edits, starts and lengths are none, and a null insertion is empty. Repeated rows
-    and null ids are rows of their own.
+    and null ids are rows of their own; an empty table gives none.
     """
     path = tokenizer or tokenizer_path()
 

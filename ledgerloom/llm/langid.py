@@ -592,6 +592,7 @@ def predict(docs: DataFrame, models: LanguageModels | StoredModels) -> DataFrame
     weighed per character, as if a text had at most ``FULL_LENGTH`` of them; 0 for
     ``und``. ``accepted`` is false for ``und`` and for texts that need more nats per
     character than texts of their language do. Columns with the new names are replaced.
+    Repeated rows and rows without an id are each predicted; an empty table gives no rows.
     """
     rows = docs.drop("held_out", "lang_pred", "score", "accepted")
     kept_fields = [f for f in rows.schema.fields if f.name != "text"]

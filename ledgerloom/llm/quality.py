@@ -29,6 +29,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = ACCEPTED) ->
     Every row is scored over its whole text. A null or empty text has the average of
     nothing and so the model's bias. Columns of ``docs`` with the new names are replaced.
     The text may also be a field of a struct column ``row``, which is kept whole.
+    Repeated rows and rows without an id are each scored; an empty table gives no rows.
     """
     rows = docs.drop("held_out", "score", "predicted")
     return score(rows, model).withColumns(

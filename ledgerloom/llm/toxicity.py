@@ -28,7 +28,8 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = FLAGGED) ->
     """All columns of ``docs`` but ``text``, and ``held_out``, ``score``, ``predicted``.
 
     Every row is scored over its whole text; a null or empty one has the model's bias.
-    Columns of ``docs`` with the new names are replaced.
+    Columns of ``docs`` with the new names are replaced. Repeated rows and rows without
+    an id are each scored; an empty table gives no rows.
     """
     rows = docs.drop("held_out", "score", "predicted")
     return score(rows, model).withColumns(
