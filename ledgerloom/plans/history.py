@@ -59,14 +59,19 @@ def dedup_against_history(
     kept = shared_scratch(spark, "unseen")
     fresh.write.parquet(kept)
     unseen = spark.read.schema(printed.schema).parquet(kept).withColumn(DAY, F.lit(day))
-    for path in (history, index):
-        if sinks.path_exists(spark, path):
-            sinks.drop_partition(spark, path, DAY, day)
     # Rows before their fingerprints: a run cut short between them is made good by the day's
     # next run, and no fingerprint stands without its row.
-    result = sinks.write_table(unseen.drop(PRINT), history, "append", partition_by=[DAY])
+    result = _replace_day(unseen.drop(PRINT), history, day)
     prints = unseen.select(PRINT, DAY).repartitionByRange(PRINT).sortWithinPartitions(PRINT)
-    sinks.write_table(prints, index, "append", partition_by=[DAY])
+    _replace_day(prints, index, day)
+    return result
+
+
+def _replace_day(rows: DataFrame, path: str, day: str) -> sinks.WriteResult:
+    """Write the day's partition in place of an earlier run's, which stands until then."""
+    result = sinks.write_table(rows, path, partition_by=[DAY], replace_partitions=True)
+    if not result.rows:
+        sinks.drop_partition(rows.sparkSession, path, DAY, day)
     return result
 
 
