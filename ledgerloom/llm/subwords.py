@@ -29,6 +29,9 @@ from ledgerloom.llm.common import (
     written,
 )
 
+# Bytes of labelled texts whose shares a task adds up before the sums move.
+ADDED_BYTES = 128 << 20
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -217,9 +220,10 @@ def train(
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> DataFrame:
-    """``doc_id``, ``digest``, ``text`` and ``label`` of every row to learn from, one per id and text.
+    """``doc_id``, ``digest``, ``bytes``, ``text``, ``label`` of every row to learn from, one per id and text.
 
-    Ids with a null or contradictory label, or of no document, are left out.
+    Ids with a null or contradictory label, or of no document, are left out. Digests are
+    taken before rows move, so that who reads all but ``text`` moves and writes no text.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label).alias("label"))
@@ -229,23 +233,28 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column)
         .filter("label = most")
         .select("of", "label")
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(learn)
+    whole = F.coalesce("text", F.lit("")).cast("binary")
+    texts = (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .filter(learn)
+        .withColumns({"digest": F.sha2(whole, 256), "bytes": F.octet_length(whole)})
+    )
     rows = texts.join(known, F.col("doc_id") == F.col("of")).select(
-        "doc_id",
-        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"),
-        "text",
-        F.col("label").cast("int").alias("label"),
+        "doc_id", "digest", "bytes", "text", F.col("label").cast("int").alias("label")
     )
-    return written(rows.dropDuplicates(["doc_id", "digest"]), "labelled")
+    return rows.dropDuplicates(["doc_id", "digest"])
 
 
-def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
+def training_rows(
+    labelled: DataFrame, settings: Settings, keys: DataFrame | None = None
+) -> DataFrame:
     """A bounded sample of the labelled rows, chosen by hash of id and text.
 
     The sample holds at most ``sample_per_class`` texts of each class, however many texts
-    an id has.
+    an id has. ``keys`` are the columns of ``labelled`` but ``text``, if written down.
     """
-    known = labelled.select("doc_id", "digest", "label", F.xxhash64("doc_id", "digest").alias("at"))
+    keys = labelled if keys is None else keys
+    known = keys.select("doc_id", "digest", "label", F.xxhash64("doc_id", "digest").alias("at"))
     parts = [
         known.filter(F.col("label") == c)
         .orderBy("at", "doc_id", "digest")
@@ -253,20 +262,28 @@ def training_rows(labelled: DataFrame, settings: Settings) -> DataFrame:
         for c in (0, 1)
     ]
     chosen = parts[0].unionByName(parts[1]).select("doc_id", "digest")
-    # At most twice sample_per_class rows: small enough to send to every task.
+    # At most twice sample_per_class rows: small enough to send to every task, and so only
+    # their texts are joined with labels.
     return labelled.join(F.broadcast(chosen), ["doc_id", "digest"], "left_semi").select(
         "doc_id", "digest", "text", "label"
     )
 
 
-def telling_entries(labelled: DataFrame, settings: Settings) -> np.ndarray:
+def telling_entries(labelled: DataFrame, settings: Settings, keys: DataFrame) -> np.ndarray:
     """:func:`telling` over all labelled rows: the more there are, the rarer it may be.
 
     Each task adds up its rows; at most a number per table entry comes to the driver.
+    ``keys`` are the columns of ``labelled`` but ``text``.
     """
-    texts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    if len(texts) < 2:
+    found = keys.groupBy("label").agg(F.count("*").alias("texts"), F.sum("bytes").alias("bytes"))
+    sizes = {r["label"]: r for r in found.collect()}
+    if len(sizes) < 2:
         return np.zeros(0, np.int64)
+    texts = {label: r["texts"] for label, r in sizes.items()}
+    # A task moves up to a row per table entry, however few its texts: its share of texts is
+    # large, so that the sums stay a small part of them.
+    whole = sum(r["bytes"] for r in sizes.values())
+    tasks = max(labelled.sparkSession.sparkContext.defaultParallelism, -(-whole // ADDED_BYTES))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, settings.buckets))
@@ -285,7 +302,7 @@ def telling_entries(labelled: DataFrame, settings: Settings) -> np.ndarray:
         del sums
         give_back_memory()
 
-    parts = labelled.select("text", "label").mapInArrow(
+    parts = labelled.select("text", "label").coalesce(tasks).mapInArrow(
         add, "entry int, none double, one double, square double"
     )
     rows = float(texts[0] + texts[1])
@@ -315,7 +332,8 @@ def _fitted(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings: Settings
 ) -> Model:
     labelled = labelled_rows(docs, labels, label, learn)
-    used = telling_entries(labelled, settings)
+    keys = written(labelled.drop("text"), "labelled")
+    used = telling_entries(labelled, settings, keys)
     held = sent(docs.sparkSession, used.astype(np.int32))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +352,7 @@ def _fitted(
                 names=["doc_id", "digest", "entries", "shares", "label"],
             )
 
-    sample = training_rows(labelled, settings).mapInArrow(
+    sample = training_rows(labelled, settings, keys).mapInArrow(
         count, "doc_id long, digest string, entries array<int>, shares array<float>, label int"
     )
 

@@ -1,11 +1,12 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import langid, quality, toxicity
+from ledgerloom.llm import langid, quality, subwords, toxicity
 from ledgerloom.llm.queries import QUERIES
 from ledgerloom.llm.subwords import (
     Settings,
@@ -14,6 +15,8 @@ from ledgerloom.llm.subwords import (
     fit,
     labelled_rows,
     scored,
+    telling,
+    telling_entries,
     train,
     training_rows,
 )
@@ -284,3 +287,49 @@ def test_samples_count_texts_of_documents(spark):
     sample = training_rows(labelled, Settings(sample_per_class=8)).collect()
     assert sorted(r.label for r in sample) == [0] * 8 + [1] * 8
     assert len({(r.doc_id, r.text) for r in sample}) == 16
+
+
+def test_learning_writes_no_labelled_texts(spark):
+    draw = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    texts = [(i, "".join(draw.choice(letters, 4000)), i % 2) for i in range(300)]
+    given = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def kept():
+        return sum(f.stat().st_size for f in shared.rglob("*") if f.is_file())
+
+    before = kept()
+    settings = Settings(buckets=1 << 14, epochs=2, sample_per_class=10)
+    fit(given.select("doc_id", "text"), given.select("doc_id", "toxic"), "toxic", F.lit(True), settings)
+    # Digests and labels of all rows, but not the 1.2 MB of their texts.
+    assert 0 < kept() - before < 120_000
+
+
+@pytest.mark.parametrize("added", [1 << 10, 1 << 27])
+def test_telling_entries_are_those_of_all_distinct_rows(spark, monkeypatch, added):
+    monkeypatch.setattr(subwords, "ADDED_BYTES", added)
+    draw = np.random.default_rng(12)
+    plain = "river stone cloud meadow garden winter lantern morning".split()
+    texts = []
+    for i in range(400):
+        words = list(draw.choice(plain, 10))
+        if i % 2:
+            words[draw.integers(10)] = "disgusting"
+        texts.append((i, " ".join(words), i % 2))
+    texts += [(400, None, 0), (401, "", 1)]
+    # Rows that come again count once; contradictory and ownerless labels teach nothing.
+    docs = spark.createDataFrame(
+        [t[:2] for t in texts + texts[:50] * 3] + [(900, "meadow")] * 2 + [(None, "disgusting")],
+        "doc_id long, text string",
+    ).repartition(7)
+    labels = spark.createDataFrame(
+        [(i, c) for i, _, c in texts] + [(900, 0), (900, 1), (None, 0), (901, 1)],
+        "doc_id long, toxic int",
+    )
+    settings = Settings(buckets=1 << 14, contrast=4.0)
+    labelled = labelled_rows(docs, labels, "toxic", F.lit(True))
+    got = telling_entries(labelled, settings, labelled.drop("text"))
+    rows = list(counted(pa.array([t for _, t, _ in texts]), settings))
+    want = telling([e for e, _ in rows], [s for _, s in rows], np.array([c for *_, c in texts]), settings)
+    assert got.tolist() == want.tolist() and len(got) > 5
